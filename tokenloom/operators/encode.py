@@ -103,22 +103,31 @@ def candidate_search(chunks: DataFrame, vocab: Vocabulary) -> DataFrame:
     return short.unionByName(_long_chunks(chunks.where(size > SEARCH_BYTES), vocab))
 
 
-def merge_by_rank(ids: list[int], ranks: dict[tuple[int, int], tuple[int, int]]) -> list[int]:
-    """Lowest-rank merging of one id list; ``ranks`` maps a pair to (rank, merged id)."""
-    while len(ids) > 1:
-        pair = min(set(zip(ids, ids[1:])), key=lambda p: ranks.get(p, (float("inf"), 0))[0])
-        if pair not in ranks:
-            break
-        merged, out, i = ranks[pair][1], [], 0
-        while i < len(ids):
-            if i + 1 < len(ids) and (ids[i], ids[i + 1]) == pair:
-                out.append(merged)
-                i += 2
-            else:
-                out.append(ids[i])
-                i += 1
-        ids = out
-    return ids
+def rank_merger():
+    """Lowest-rank merging of one id list, for use inside tasks.
+
+    ``ranks`` maps a pair to (rank, merged id). The function is made here so
+    that it travels with the task: executors need not have this package.
+    """
+
+    def merge(ids: list, ranks: dict) -> list:
+        while len(ids) > 1:
+            known = [pair for pair in set(zip(ids, ids[1:])) if pair in ranks]
+            if not known:
+                break
+            pair = min(known, key=ranks.get)
+            merged, out, i = ranks[pair][1], [], 0
+            while i < len(ids):
+                if i + 1 < len(ids) and (ids[i], ids[i + 1]) == pair:
+                    out.append(merged)
+                    i += 2
+                else:
+                    out.append(ids[i])
+                    i += 1
+            ids = out
+        return ids
+
+    return merge
 
 
 def _long_chunks(chunks: DataFrame, vocab: Vocabulary) -> DataFrame:
@@ -129,6 +138,7 @@ def _long_chunks(chunks: DataFrame, vocab: Vocabulary) -> DataFrame:
         vocab.start_state(F.col("chunk")).alias("start"),
     )
     schema = f"{_ddl(chunks)}, state string"
+    merge = rank_merger()
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -137,7 +147,7 @@ def _long_chunks(chunks: DataFrame, vocab: Vocabulary) -> DataFrame:
                 ranks: dict[tuple[str, str], tuple[int, str]] = {}
                 for m in merges:
                     ranks.setdefault((m["pattern"][0], m["pattern"][1]), (m["rank"], m["result"]))
-                states.append("".join(merge_by_rank(list(start), ranks)))
+                states.append("".join(merge(list(start), ranks)))
             yield batch.drop(columns=["found", "start"]).assign(state=states)
 
     return found.mapInPandas(encode, schema)
