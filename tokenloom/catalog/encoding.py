@@ -18,10 +18,10 @@ from tokenloom.operators.encode import encode_chunks
 from tokenloom.operators.parity import parity, parity_summary
 from tokenloom.operators.tokens import (
     detokenize,
+    encode_inline,
     oov_bytes,
     pair_counts,
     token_counts,
-    token_counts_few_groups,
     tokenize,
 )
 from tokenloom.operators.vocab_tables import byte_tokens, ids_for_bytes
@@ -29,7 +29,7 @@ from tokenloom.operators.vocabulary import Vocabulary
 from tokenloom.plans.workspace import new_path
 from tokenloom.sources.corpus import stream_corpus
 from tokenloom.sources.sinks import write_token_ids
-from tokenloom.streaming.encode_stream import encode_batches, encode_inline
+from tokenloom.streaming.encode_stream import encode_batches
 
 # A cap that many documents exceed, so that capping shows.
 CAP = 256
@@ -75,7 +75,7 @@ def chunk_ids_by_literal_sweep(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def chunk_ids_by_candidate_sweep(spark: SparkSession, folder: str) -> DataFrame:
-    return _chunk_ids(spark, folder, dataclasses.replace(vocabulary_64(spark), literal_merges=None))
+    return _chunk_ids(spark, folder, _as_large(vocabulary_64(spark)))
 
 
 def chunk_ids_by_candidate_search(spark: SparkSession, folder: str) -> DataFrame:
@@ -118,9 +118,14 @@ DOCUMENT_IDS_SQL = f"""WITH {sql.rows_of_ids('documents', 'doc_id')}
     SELECT doc_id, ids, n_tokens, true AS ok FROM tok"""
 
 
+def document_ids_by_dictionary(spark: SparkSession, folder: str) -> DataFrame:
+    """The plan for a vocabulary of any size."""
+    return _as_text(tokenize(documents(spark, folder), _as_large(vocabulary_64(spark))), "doc_id")
+
+
 def document_ids_with_shuffled_dictionary(spark: SparkSession, folder: str) -> DataFrame:
     """The plan for a dictionary too large to broadcast."""
-    vocab, texts = vocabulary_64(spark), documents(spark, folder)
+    vocab, texts = _as_large(vocabulary_64(spark)), documents(spark, folder)
     limited = dataclasses.replace(build_dictionary(texts, vocab), broadcast_rows=1_000, frequent_share=1 / 1_000)
     return _as_text(tokenize(texts, vocab, dictionary=limited), "doc_id")
 
@@ -204,10 +209,29 @@ def round_trip(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def tokens_by_lang(spark: SparkSession, folder: str) -> DataFrame:
-    counts = token_counts_few_groups(documents(spark, folder, ["lang"]), vocabulary_64(spark), ["lang"])
+    counts = token_counts(documents(spark, folder, ["lang"]), vocabulary_64(spark), ["lang"])
     return counts.select("lang", long("n_tokens"))
 
 
+def _as_large(vocab: Vocabulary) -> Vocabulary:
+    """The vocabulary as one with too many merges for a literal list."""
+    return dataclasses.replace(vocab, literal_merges=None)
+
+
+def tokens_by_lang_by_dictionary(spark: SparkSession, folder: str) -> DataFrame:
+    """The plan for a vocabulary of any size and a grouping with few values."""
+    vocab = _as_large(vocabulary_64(spark))
+    counts = token_counts(documents(spark, folder, ["lang"]), vocab, ["lang"], few_groups=True)
+    return counts.select("lang", long("n_tokens"))
+
+
+def tokens_by_document_by_dictionary(spark: SparkSession, folder: str) -> DataFrame:
+    """The plan for a vocabulary of any size and a grouping with many values."""
+    vocab = _as_large(vocabulary_64(spark))
+    counts = token_counts(documents(spark, folder), vocab, ["doc_id"])
+    return counts.select("doc_id", long("n_tokens"))
+
+
 def tokens_by_source(spark: SparkSession, folder: str) -> DataFrame:
     counts = token_counts(documents(spark, folder, ["lang", "source"]), vocabulary_64(spark), ["lang", "source"])
     return counts.select("lang", "source", long("n_tokens"))
@@ -224,7 +248,7 @@ def tokens_by_document(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def tokens_by_role(spark: SparkSession, folder: str) -> DataFrame:
-    counts = token_counts_few_groups(conversations(spark, folder, ["role"]), vocabulary_64(spark), ["role"])
+    counts = token_counts(conversations(spark, folder, ["role"]), vocabulary_64(spark), ["role"])
     return counts.select("role", long("n_tokens"))
 
 
@@ -345,10 +369,10 @@ def streamed_tokens_by_lang(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def streamed_batches_by_lang(spark: SparkSession, folder: str) -> DataFrame:
-    """The same with the dictionary plan in every micro-batch."""
+    """The same with the dictionary plan in every micro-batch, as for a large vocabulary."""
     path, state = new_path(spark, "batch-ids"), new_path(spark, "batch-state")
     query = encode_batches(
-        _stream(spark, folder), vocabulary_64(spark), path, state, ["doc_id", "lang"], available_now=True
+        _stream(spark, folder), _as_large(vocabulary_64(spark)), path, state, ["doc_id", "lang"], available_now=True
     )
     query.awaitTermination()
     rows = spark.read.parquet(path)
@@ -365,6 +389,7 @@ ENTRIES: dict[str, Entry] = {
     "chunk_ids_by_candidate_search": Entry("JN4, AG5", chunk_ids_by_candidate_search, CHUNK_IDS_SQL),
     "first_merges": Entry("AG5", first_merges, FIRST_MERGES_SQL),
     "document_ids": Entry("JN5, AG7", document_ids, DOCUMENT_IDS_SQL),
+    "document_ids_by_dictionary": Entry("JN5, AG7", document_ids_by_dictionary, DOCUMENT_IDS_SQL),
     "document_ids_with_shuffled_dictionary": Entry("JN5, AG7", document_ids_with_shuffled_dictionary, DOCUMENT_IDS_SQL),
     "conversation_ids": Entry("JN5, AG7", conversation_ids, f"WITH {sql.rows_of_ids('conversations', 'conv_id, turn')} SELECT conv_id, turn, ids, n_tokens, true AS ok FROM tok"),
     "stored_ids": Entry("SNK1", stored_ids, DOCUMENT_IDS_SQL),
@@ -375,6 +400,8 @@ ENTRIES: dict[str, Entry] = {
     "failed_encodes": Entry("PRJ19", failed_encodes, FAILED_ENCODES_SQL),
     "round_trip": Entry("JN9", round_trip, "SELECT doc_id, text FROM documents"),
     "tokens_by_lang": Entry("AG3", tokens_by_lang, _counts_sql("documents", "lang")),
+    "tokens_by_lang_by_dictionary": Entry("AG3", tokens_by_lang_by_dictionary, _counts_sql("documents", "lang")),
+    "tokens_by_document_by_dictionary": Entry("AG3", tokens_by_document_by_dictionary, f"WITH {sql.rows_of_ids('documents', 'doc_id')} SELECT doc_id, n_tokens FROM tok"),
     "tokens_by_source": Entry("AG3", tokens_by_source, _counts_sql("documents", "lang, source")),
     "tokens_by_lang_and_source_with_totals": Entry(
         "AG3",

@@ -37,6 +37,7 @@ from tokenloom.operators.vocab_tables import (
     validate_merges,
     vocab_summary,
 )
+from tokenloom.plans.workspace import written
 from tokenloom.sources.vocab import (
     attributes_from_arrays,
     merges_from_arrays,
@@ -44,6 +45,7 @@ from tokenloom.sources.vocab import (
     select_metadata,
     tokens_from_arrays,
     tokens_from_json,
+    typed_tokens_from_arrays,
     with_attributes,
 )
 
@@ -108,9 +110,7 @@ def two_sided_merges(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _token_tables(spark: SparkSession, folder: str) -> DataFrame:
-    models = _models(spark, folder)
-    tokens = tokens_from_arrays(models, _MODEL)
-    return token_table(with_attributes(tokens, attributes_from_arrays(models, _MODEL), _MODEL), _MODEL)
+    return token_table(typed_tokens_from_arrays(_models(spark, folder), _MODEL), _MODEL)
 
 
 def typed_tokens(spark: SparkSession, folder: str) -> DataFrame:
@@ -120,6 +120,17 @@ def typed_tokens(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def joined_attributes(spark: SparkSession, folder: str) -> DataFrame:
+    """The same where tokens and attributes are separate tables."""
+    models = _models(spark, folder)
+    tokens = with_attributes(
+        tokens_from_arrays(models, _MODEL), attributes_from_arrays(models, _MODEL), _MODEL
+    )
+    return token_table(tokens, _MODEL).select(
+        "doc_id", long("id"), "token", long("token_type"), F.col("score").cast("double").alias("score")
+    )
+
+
 def vocabulary_sizes(spark: SparkSession, folder: str) -> DataFrame:
     return vocab_summary(_token_tables(spark, folder), _MODEL)
 
@@ -310,10 +321,10 @@ _IDS_SQL = f"""{sql.occurrences('documents', 'doc_id')},
 
 
 def _ids_with_bytes(spark: SparkSession, folder: str) -> DataFrame:
-    """First ids of the corpus tokens, after the 256 single bytes."""
+    """First ids of the corpus tokens, after the 256 single bytes; stored, as three joins read them."""
     single = spark.range(256).select("id", F.lpad(F.hex("id"), 2, "0").alias("tok_hex"))
     listed = _corpus_tokens(spark, folder).withColumn("id", F.col("id") + 256)
-    return first_ids(single.unionByName(listed))
+    return written(first_ids(single.unionByName(listed)), "ids")
 
 
 _IDS_WITH_BYTES_SQL = f"""{sql.occurrences('documents', 'doc_id')},
@@ -444,6 +455,7 @@ ENTRIES: dict[str, Entry] = {
         "PRJ3", two_sided_merges, f"""WITH {_MERGES_SQL} SELECT doc_id, rank, "left", "right" FROM merges WHERE "left" <> '' AND "right" <> ''"""
     ),
     "typed_tokens": Entry("SRC4, PRJ4, PRJ5", typed_tokens, f"WITH {_TYPED_SQL} SELECT * FROM typed"),
+    "joined_attributes": Entry("SRC4, PRJ4, PRJ5", joined_attributes, f"WITH {_TYPED_SQL} SELECT * FROM typed"),
     "vocabulary_sizes": Entry("AG2", vocabulary_sizes, VOCABULARY_SIZES_SQL),
     "merge_counts": Entry(
         "AG2",

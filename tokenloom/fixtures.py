@@ -6,12 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tokenloom.operators.vocabulary import Vocabulary, build_vocabulary
-from tokenloom.sources.vocab import (
-    attributes_from_arrays,
-    merges_from_arrays,
-    tokens_from_arrays,
-    with_attributes,
-)
+from tokenloom.sources.vocab import merges_from_arrays, typed_tokens_from_arrays
 
 # 64 merges in rank order, hex of the raw bytes, left+right.
 # Ids 0-255 are the single bytes; the merge of rank r makes id 256 + r.
@@ -57,8 +52,7 @@ def model_arrays(spark: SparkSession, merges: list[str] = MERGES_64, added: tupl
 
 
 def raw_tokens(spark: SparkSession, merges: list[str] = MERGES_64, added: tuple = ()) -> DataFrame:
-    arrays = model_arrays(spark, merges, added)
-    return with_attributes(tokens_from_arrays(arrays), attributes_from_arrays(arrays))
+    return typed_tokens_from_arrays(model_arrays(spark, merges, added))
 
 
 def raw_merges(spark: SparkSession, merges: list[str] = MERGES_64) -> DataFrame:

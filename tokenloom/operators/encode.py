@@ -4,7 +4,8 @@ Lowest-rank merging: while a known pair of neighbours remains, take the pair
 with the lowest rank and merge all its occurrences from left to right. Three
 equivalent plans follow; which one is exact and cheapest depends on the merges.
 
-* literal sweep: few merges, in order. One pass over a literal list.
+* literal sweep: few merges, in order. One pass over a literal list, which may
+  also run over a whole text at once.
 * candidate sweep: merges in order. An equi-join finds the merges whose token
   occurs in the chunk, and one pass in rank order applies them.
 * candidate search: any merges. The same join, but each step looks for the
@@ -19,6 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tokenloom.functions.chunks import chunk_array
 from tokenloom.functions.codes import id_char
 from tokenloom.operators.vocabulary import Vocabulary
 
@@ -28,11 +30,16 @@ WINDOW = 512
 # The search looks at every candidate once per byte; longer chunks go to a
 # helper that finds pairs by position.
 SEARCH_BYTES = 512
+# Stands between chunks; the coding of ids leaves it unused.
+APART = "\0"
 
 
 def literal_sweep(vocab: Vocabulary, chunk: Column) -> Column:
     """Token string of a chunk, for a short list of merges that are in order."""
-    state = vocab.start_state(chunk)
+    return _apply(vocab, vocab.start_state(chunk))
+
+
+def _apply(vocab: Vocabulary, state: Column) -> Column:
     if not vocab.literal_merges:
         return state
     merges = F.array(
@@ -41,6 +48,27 @@ def literal_sweep(vocab: Vocabulary, chunk: Column) -> Column:
     return F.aggregate(merges, state, lambda s, m: F.replace(s, m["pattern"], m["result"]))
 
 
+def text_state(vocab: Vocabulary, text: Column) -> Column:
+    """Token string of a whole text, for a vocabulary with a literal list.
+
+    The chunks are kept apart by a character no token has, and each merge is
+    applied to the text as a whole: nothing is exploded, joined or shuffled.
+    """
+    texts = F.array(*[F.lit(t) for t, _ in vocab.added])
+    chars = F.array(*[F.lit(id_char(i)) for _, i in vocab.added])
+
+    def start(chunk: Column) -> Column:
+        state = vocab.start_state(chunk)
+        if not vocab.added:
+            return state
+        place = F.nullif(F.array_position(texts, chunk).cast("int"), F.lit(0))
+        return F.coalesce(F.try_element_at(chars, place), state)
+
+    chunks = chunk_array(text, vocab.pattern, vocab.added_texts)
+    state = _apply(vocab, F.array_join(F.transform(chunks, start), APART))
+    return F.replace(state, F.lit(APART), F.lit(""))
+
+
 def _candidates(chunks: DataFrame, vocab: Vocabulary) -> DataFrame:
     """Chunks with ``found``, their possible merges as (rank, pattern, result).
 

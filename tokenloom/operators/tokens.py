@@ -12,11 +12,10 @@ from tokenloom.functions.codes import ids_of_state
 from tokenloom.operators.dictionary import (
     Dictionary,
     build_dictionary,
-    count_chunks,
     occurrences,
     with_codes,
 )
-from tokenloom.operators.encode import encode_chunks
+from tokenloom.operators.encode import encode_chunks, text_state
 from tokenloom.operators.vocabulary import Vocabulary
 from tokenloom.plans.sizes import hinted
 
@@ -30,29 +29,49 @@ def tokenize(
     """(key.., ids, n_tokens, ok) of every row; ``key`` must be unique.
 
     A text that could not be encoded, because it is null or has a chunk the
-    given dictionary lacks, has no ids and ``ok`` false. Over a corpus bucketed
-    by key the gather needs no shuffle.
+    given dictionary lacks, has no ids and ``ok`` false.
+
+    A vocabulary with few merges encodes each row where it stands. With any
+    other, each distinct chunk is encoded once and joined back; over a corpus
+    bucketed by key the last gather then needs no shuffle.
     """
+    if dictionary is None and vocab.literal_merges is not None:
+        return encode_inline(corpus, vocab, key)
     dictionary = dictionary or build_dictionary(corpus, vocab)
-    rows = occurrences(corpus.withColumn("given", F.col("text").isNotNull()), [*key, "given"], vocab, keep_blank=True)
-    pieces = with_codes(rows, dictionary, ["state"])
-    return gather(pieces, key)
+    given = corpus.withColumn("given", F.col("text").isNotNull())
+    rows = occurrences(given, [*key, "given"], vocab, keep_blank=True)
+    return _gather(with_codes(rows, dictionary, ["state"]), key)
 
 
-def gather(pieces: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Put (key.., given, pos, chunk, state) rows together in order, one row per key."""
-    ordered = F.sort_array(F.collect_list(F.when(F.col("pos").isNotNull(), F.struct("pos", "state"))))
-    whole = pieces.groupBy(*key).agg(
-        ordered.alias("parts"),
-        F.bool_and(F.col("given") & (F.col("state").isNotNull() | F.col("chunk").isNull())).alias("ok"),
+def encode_inline(corpus: DataFrame, vocab: Vocabulary, key: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """`tokenize` without any shuffle, on tables and streams, for a literal vocabulary."""
+    if vocab.literal_merges is None:
+        raise ValueError("this vocabulary has too many merges, or unordered ones, to encode inline")
+    state = F.coalesce(text_state(vocab, F.col("text")), F.lit(""))
+    rows = corpus.select(*key, state.alias("state"), F.col("text").isNotNull().alias("ok"))
+    return _with_ids(rows, key)
+
+
+def _with_ids(rows: DataFrame, key: Sequence[str]) -> DataFrame:
+    return rows.select(
+        *key, ids_of_state(F.col("state")).alias("ids"), F.char_length("state").alias("n_tokens"), "ok"
     )
+
+
+def in_order(part: Column, name: str = "pos") -> Column:
+    """Parts of one key in order. Fails the job where two rows share a key and a position."""
+    position = F.col(name)
+    parts = F.sort_array(F.collect_list(F.when(position.isNotNull(), F.struct(position, part))))
+    unique = F.count("*") == F.coalesce(F.max(position), F.lit(0)) + 1
+    return F.when(unique, parts).otherwise(F.raise_error(F.lit("the key is not unique")))
+
+
+def _gather(pieces: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Put (key.., given, pos, chunk, state) rows together in order, one row per key."""
+    known = F.col("given") & (F.col("state").isNotNull() | F.col("chunk").isNull())
+    whole = pieces.groupBy(*key).agg(in_order(F.col("state")).alias("parts"), F.bool_and(known).alias("ok"))
     state = F.when(F.col("ok"), F.array_join("parts.state", "")).otherwise(F.lit(""))
-    return whole.select(*key, state.alias("state"), "ok").select(
-        *key,
-        ids_of_state(F.col("state")).alias("ids"),
-        F.char_length("state").alias("n_tokens"),
-        "ok",
-    )
+    return _with_ids(whole.select(*key, state.alias("state"), "ok"), key)
 
 
 def token_counts(
@@ -60,30 +79,32 @@ def token_counts(
     vocab: Vocabulary,
     by: Sequence[str],
     dictionary: Dictionary | None = None,
+    few_groups: bool = False,
 ) -> DataFrame:
     """(by.., n_tokens) without building any id array.
 
-    Each distinct chunk is encoded once and only its count goes back onto the
-    occurrences, which are summed before they are shuffled.
+    A vocabulary with few merges counts each row where it stands. With any
+    other, each distinct chunk is encoded once and only its count goes back
+    onto the occurrences, which are summed before they are shuffled. With
+    ``few_groups``, for groupings such as a language, chunks are encoded once
+    per group instead: the text is read once and only distinct (group, chunk)
+    pairs are shuffled.
     """
-    dictionary = dictionary or build_dictionary(corpus, vocab)
+    if dictionary is None and vocab.literal_merges is not None:
+        size = F.char_length(text_state(vocab, F.col("text")))
+        counted = corpus.select(*by, size.alias("n_tokens"))
+    elif dictionary is None and few_groups:
+        chunks = occurrences(corpus, by, vocab, keep_blank=True).groupBy(*by, "chunk").agg(F.count("*").alias("n"))
+        encoded = encode_chunks(chunks, vocab)
+        counted = encoded.withColumn("n_tokens", F.col("n_tokens") * F.col("n"))
+    else:
+        dictionary = dictionary or build_dictionary(corpus, vocab)
+        rows = occurrences(corpus, by, vocab, keep_blank=True).drop("pos")
+        counted = with_codes(rows, dictionary, ["n_tokens"])
     # A group whose texts are all empty counts 0.
-    rows = occurrences(corpus, by, vocab, keep_blank=True).drop("pos")
-    counted = with_codes(rows, dictionary, ["n_tokens"])
     return counted.groupBy(*by).agg(F.coalesce(F.sum("n_tokens"), F.lit(0)).alias("n_tokens"))
 
 
-def token_counts_few_groups(corpus: DataFrame, vocab: Vocabulary, by: Sequence[str]) -> DataFrame:
-    """The same for groupings with few values, such as a language.
-
-    Chunks are counted per group and encoded once per group, so the text is
-    read once and only distinct (group, chunk) pairs are shuffled.
-    """
-    encoded = encode_chunks(count_chunks(corpus, vocab, by), vocab)
-    weighted = F.sum(F.col("n_tokens") * F.col("n"))
-    return encoded.groupBy(*by).agg(weighted.alias("n_tokens"))
-
-
 def pair_counts(dictionary: Dictionary) -> DataFrame:
     """How often two ids stand side by side within a chunk, over the whole corpus.
 
@@ -119,9 +140,8 @@ def detokenize(tokens: DataFrame, vocab: Vocabulary, key: Sequence[str] = ("doc_
     # A vocabulary holds no more ids than `functions.codes` has characters.
     n_tokens = vocab.n_merges + 256 + len(vocab.added)
     joined = rows.join(hinted(lookup, n_tokens, 4 * vocab.span_bytes), "id", "left")
-    part = F.when(F.col("pos").isNotNull(), F.struct("pos", "tok_hex"))
     whole = joined.groupBy(*key).agg(
-        F.sort_array(F.collect_list(part)).alias("parts"),
+        in_order(F.col("tok_hex")).alias("parts"),
         F.bool_and(F.col("known").isNotNull() | F.col("pos").isNull()).alias("known"),
     )
     text = F.decode(F.unhex(F.array_join("parts.tok_hex", "")), "UTF-8")

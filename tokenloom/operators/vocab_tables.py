@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tokenloom.functions.alphabet import token_hex
+from tokenloom.plans.workspace import written
 
 # Source codes of normal and byte tokens, and the mapped codes.
 SOURCE_NORMAL, SOURCE_BYTE = 1, 6
@@ -97,19 +98,25 @@ def resolve_merges(
     return found.select(*by, "rank", "left_id", "right_id", "merged_id")
 
 
-def unresolved_merges(
-    merges: DataFrame, ids: DataFrame, by: Sequence[str] = (), text: str = "tok_hex"
+def _with_reason(
+    merges: DataFrame, ids: DataFrame, by: Sequence[str], text: str
 ) -> DataFrame:
-    """What `resolve_merges` drops, with the first reason that applies."""
+    """Merges with their ids and the first reason that keeps one from resolving."""
     reason = (
         F.when((F.col("left") == "") | (F.col("right") == ""), "empty side")
         .when(F.col("left_id").isNull(), "left")
         .when(F.col("right_id").isNull(), "right")
         .when(F.col("merged_id").isNull(), "merged")
     )
+    return _looked_up(merges, ids, by, text).withColumn("reason", reason)
+
+
+def unresolved_merges(
+    merges: DataFrame, ids: DataFrame, by: Sequence[str] = (), text: str = "tok_hex"
+) -> DataFrame:
+    """What `resolve_merges` drops, with the first reason that applies."""
     return (
-        _looked_up(merges, ids, by, text)
-        .withColumn("reason", reason)
+        _with_reason(merges, ids, by, text)
         .where(F.col("reason").isNotNull())
         .select(*by, "rank", "left", "right", "reason")
     )
@@ -157,9 +164,14 @@ def concat_mismatches(merges: DataFrame, tokens: DataFrame, by: Sequence[str] =
 def validate_merges(
     raw: DataFrame, ids: DataFrame, by: Sequence[str] = (), text: str = "tok_hex"
 ) -> DataFrame:
-    """Problems of a merge table as rows (by.., problem, rank)."""
-    resolved = resolve_merges(raw, ids, by, text)
-    missing = unresolved_merges(raw, ids, by, text).select(
+    """Problems of a merge table as rows (by.., problem, rank).
+
+    The lookups are done once and stored; every check starts from there.
+    """
+    checked = written(_with_reason(raw, ids, by, text), "checked-merges")
+    failed = F.col("reason").isNotNull()
+    resolved = checked.where(~failed).select(*by, "rank", "left_id", "right_id", "merged_id")
+    missing = checked.where(failed).select(
         *by, F.concat(F.lit("unresolved: "), F.col("reason")).alias("problem"), "rank"
     )
     repeated = duplicate_merges(resolved, by).select(*by, F.lit("duplicate pair").alias("problem"), "rank")

@@ -82,6 +82,34 @@ def attributes_from_arrays(
     )
 
 
+def typed_tokens_from_arrays(
+    models: DataFrame,
+    by: Sequence[str] = (),
+    tokens: str = "tokens",
+    types: str = "token_types",
+    scores: str = "scores",
+) -> DataFrame:
+    """Rows (by.., id, token, source_type, score) of models that hold all three lists.
+
+    Lists of one row are aligned in place, so this needs no join. Types and
+    scores may be missing or shorter than the tokens; what is longer is dropped.
+    """
+    size = F.size(tokens)
+    zipped = F.arrays_zip(
+        F.col(tokens).alias("token"),
+        F.slice(F.coalesce(F.col(types), F.array()), F.lit(1), size).alias("source_type"),
+        F.slice(F.coalesce(F.col(scores), F.array()), F.lit(1), size).alias("score"),
+    )
+    rows = models.select(*by, F.posexplode(zipped).alias("id", "t"))
+    return rows.select(
+        *by,
+        "id",
+        named_empty(F.col("t.token"), F.col("id")).alias("token"),
+        F.col("t.source_type").cast("int").alias("source_type"),
+        F.col("t.score").cast("float").alias("score"),
+    )
+
+
 def with_attributes(tokens: DataFrame, attributes: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Attach types and scores to tokens; tokens without either keep nulls."""
     return tokens.join(attributes, [*by, "id"], "left")

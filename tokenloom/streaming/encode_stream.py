@@ -1,6 +1,8 @@
 """Encoding a stream of documents.
 
-No state is kept between documents, so there is nothing to watermark.
+No state is kept between documents, so there is nothing to watermark. With a
+literal vocabulary `operators.tokens.encode_inline` works on the stream itself;
+the function here takes any vocabulary.
 """
 
 from __future__ import annotations
@@ -8,44 +10,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tokenloom.functions.chunks import chunk_array
-from tokenloom.functions.codes import ids_of_state, id_char
-from tokenloom.operators.encode import literal_sweep
 from tokenloom.operators.tokens import tokenize
 from tokenloom.operators.vocabulary import Vocabulary
 
 
-def encode_inline(corpus: DataFrame, vocab: Vocabulary, key: Sequence[str] = ("doc_id",)) -> DataFrame:
-    """(key.., ids, n_tokens, ok) without a shuffle, for a literal vocabulary.
-
-    Works on streams and tables alike: every chunk of a text is encoded where
-    it stands. On a large table the dictionary of `tokenize` does less work.
-    """
-    if vocab.literal_merges is None:
-        raise ValueError("too many merges to encode inline: use encode_batches")
-    chunks = chunk_array(F.col("text"), vocab.pattern, vocab.added_texts)
-
-    def encode(chunk):
-        state = literal_sweep(vocab, chunk)
-        if not vocab.added:
-            return state
-        texts = F.array(*[F.lit(text) for text, _ in vocab.added])
-        chars = F.array(*[F.lit(id_char(token_id)) for _, token_id in vocab.added])
-        place = F.nullif(F.array_position(texts, chunk).cast("int"), F.lit(0))
-        return F.coalesce(F.try_element_at(chars, place), state)
-
-    state = F.coalesce(F.array_join(F.transform(chunks, encode), ""), F.lit(""))
-    return corpus.select(*key, state.alias("state"), F.col("text").isNotNull().alias("ok")).select(
-        *key,
-        ids_of_state(F.col("state")).alias("ids"),
-        F.char_length("state").alias("n_tokens"),
-        "ok",
-    )
-
-
 def encode_batches(
     corpus: DataFrame,
     vocab: Vocabulary,
@@ -54,7 +24,7 @@ def encode_batches(
     key: Sequence[str] = ("doc_id",),
     available_now: bool = False,
 ) -> StreamingQuery:
-    """Encode a stream with any vocabulary, micro-batch by micro-batch, into parquet.
+    """Encode a stream, micro-batch by micro-batch, into parquet.
 
     Each batch goes to a folder named by its number and replaces what an
     earlier attempt at the same batch left there.
