@@ -26,6 +26,7 @@ from tokenloom.operators.tokens import (
 )
 from tokenloom.operators.vocab_tables import byte_tokens, ids_for_bytes
 from tokenloom.operators.vocabulary import Vocabulary
+from tokenloom.plans.parallel import wanted_partitions
 from tokenloom.plans.workspace import new_path
 from tokenloom.sources.corpus import stream_corpus
 from tokenloom.sources.sinks import write_token_ids
@@ -209,7 +210,8 @@ def round_trip(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def tokens_by_lang(spark: SparkSession, folder: str) -> DataFrame:
-    counts = token_counts(documents(spark, folder, ["lang"]), vocabulary_64(spark), ["lang"])
+    texts = documents(spark, folder, ["lang"])
+    counts = token_counts(texts, vocabulary_64(spark), ["lang"], few_groups=True)
     return counts.select("lang", long("n_tokens"))
 
 
@@ -248,7 +250,8 @@ def tokens_by_document(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def tokens_by_role(spark: SparkSession, folder: str) -> DataFrame:
-    counts = token_counts(conversations(spark, folder, ["role"]), vocabulary_64(spark), ["role"])
+    texts = conversations(spark, folder, ["role"])
+    counts = token_counts(texts, vocabulary_64(spark), ["role"], few_groups=True)
     return counts.select("role", long("n_tokens"))
 
 
@@ -347,10 +350,10 @@ _COMPARED_SQL = f"""WITH {sql.rows_of_ids('documents', 'doc_id', name='a')},
 
 
 def _stream(spark: SparkSession, folder: str) -> DataFrame:
-    path = f"{folder}/documents.parquet"
-    schema = spark.read.parquet(path).schema
+    table = spark.read.parquet(f"{folder}/documents.parquet")
     # A stream source is a folder; the glob keeps it to this one table.
-    return stream_corpus(spark, f"{folder}/documents*.parquet", schema, ["doc_id"], keep=["lang"])
+    path = f"{folder}/documents*.parquet"
+    return stream_corpus(spark, path, table.schema, ["doc_id"], keep=["lang"], partitions=wanted_partitions(table))
 
 
 def streamed_tokens_by_lang(spark: SparkSession, folder: str) -> DataFrame:

@@ -14,9 +14,10 @@ SELF_RANGES = ((33, 126), (161, 172), (174, 255))
 
 _SELF = {b for lo, hi in SELF_RANGES for b in range(lo, hi + 1)}
 _SHIFTED = [b for b in range(256) if b not in _SELF]
-_SHIFTED_CHARS = "".join(chr(256 + n) for n in range(len(_SHIFTED)))
-_SHIFTED_BYTES = "".join(chr(b) for b in _SHIFTED)
-_ALL_CHARS = "".join(chr(b) for b in sorted(_SELF)) + _SHIFTED_CHARS
+_CHARS = "".join(chr(b) for b in sorted(_SELF)) + "".join(chr(256 + n) for n in range(len(_SHIFTED)))
+# The bytes of those characters, moved up by 256: ``translate`` deletes a
+# character whose replacement is code point 0.
+_RAISED = "".join(chr(256 + b) for b in [*sorted(_SELF), *_SHIFTED])
 
 
 def byte_alphabet(spark: SparkSession) -> DataFrame:
@@ -38,13 +39,13 @@ def byte_alphabet(spark: SparkSession) -> DataFrame:
 
 def char_to_byte(char: Column) -> Column:
     """The byte an alphabet character stands for; null for any other text."""
-    point = F.ascii(F.translate(char, _SHIFTED_CHARS, _SHIFTED_BYTES))
+    point = F.ascii(F.translate(char, _CHARS, _RAISED)) - 256
     return F.when(spelled_in_alphabet(char) & (F.char_length(char) == 1), point)
 
 
 def spelled_in_alphabet(token: Column) -> Column:
     """True when every character of a non-empty token belongs to the alphabet."""
-    return (token != "") & (F.translate(token, _ALL_CHARS, "") == "")
+    return (token != "") & (F.translate(token, _CHARS, "") == "")
 
 
 def token_hex(token: Column, literal: Column | None = None) -> Column:
@@ -57,11 +58,9 @@ def token_hex(token: Column, literal: Column | None = None) -> Column:
     transcode = spelled_in_alphabet(token)
     if literal is not None:
         transcode = transcode & ~literal
-    one_char_per_byte = F.translate(token, _SHIFTED_CHARS, _SHIFTED_BYTES)
-    # A character above 255 cannot reach ``encode``: it would fail the job
-    # should the optimizer evaluate this branch outside its condition.
-    safe = F.regexp_replace(one_char_per_byte, "[^\\x{00}-\\x{FF}]", "?")
-    return F.when(transcode, F.hex(F.encode(safe, "ISO-8859-1"))).otherwise(
+    # Every raised character is 01xx in UTF-16, with xx the byte.
+    raised = F.hex(F.encode(F.translate(token, _CHARS, _RAISED), "UTF-16BE"))
+    return F.when(transcode, F.regexp_replace(raised, "01(..)", "$1")).otherwise(
         F.hex(F.encode(token, "UTF-8"))
     )
 

@@ -83,20 +83,20 @@ def token_counts(
 ) -> DataFrame:
     """(by.., n_tokens) without building any id array.
 
-    A vocabulary with few merges counts each row where it stands. With any
-    other, each distinct chunk is encoded once and only its count goes back
-    onto the occurrences, which are summed before they are shuffled. With
-    ``few_groups``, for groupings such as a language, chunks are encoded once
-    per group instead: the text is read once and only distinct (group, chunk)
-    pairs are shuffled.
+    With ``few_groups``, for groupings such as a language, chunks are counted
+    and encoded once per group: the text is read once and only distinct
+    (group, chunk) pairs are shuffled. For other groupings a vocabulary with
+    few merges counts each row where it stands; with any other, each distinct
+    chunk is encoded once and only its count goes back onto the occurrences,
+    which are summed before they are shuffled.
     """
-    if dictionary is None and vocab.literal_merges is not None:
-        size = F.char_length(text_state(vocab, F.col("text")))
-        counted = corpus.select(*by, size.alias("n_tokens"))
-    elif dictionary is None and few_groups:
+    if dictionary is None and few_groups:
         chunks = occurrences(corpus, by, vocab, keep_blank=True).groupBy(*by, "chunk").agg(F.count("*").alias("n"))
         encoded = encode_chunks(chunks, vocab)
         counted = encoded.withColumn("n_tokens", F.col("n_tokens") * F.col("n"))
+    elif dictionary is None and vocab.literal_merges is not None:
+        size = F.char_length(text_state(vocab, F.col("text")))
+        counted = corpus.select(*by, size.alias("n_tokens"))
     else:
         dictionary = dictionary or build_dictionary(corpus, vocab)
         rows = occurrences(corpus, by, vocab, keep_blank=True).drop("pos")

@@ -5,14 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
+def wanted_partitions(df: DataFrame) -> int | None:
+    """The number of cores if the scan has fewer splits than that, else None."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return cores if df.rdd.getNumPartitions() < cores else None
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Deal out rows when the scan has fewer splits than the cluster has cores.
 
     Splitting text costs far more than moving it once, but only a small input
     has so few splits: on a large one this changes nothing and adds no shuffle.
-    A streaming input is left alone.
     """
-    if df.isStreaming:
-        return df
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    partitions = wanted_partitions(df)
+    return df.repartition(partitions) if partitions else df

@@ -37,9 +37,11 @@ def stream_corpus(
     keep: Sequence[str] = (),
     format: str = "parquet",
     max_files_per_trigger: int | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
-    """The same as a stream of files."""
+    """The same as a stream of files; ``partitions`` deals out the rows of small batches."""
     reader = spark.readStream.format(format).schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return _project(reader.load(path), key, text, keep)
+    rows = _project(reader.load(path), key, text, keep)
+    return rows.repartition(partitions) if partitions else rows
