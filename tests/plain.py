@@ -11,11 +11,19 @@ def split(text: str, pattern: str = DEFAULT_PATTERN) -> list[str]:
     return regex.findall(pattern, text)
 
 
-def encode(chunk: str, merges: list[tuple[bytes, bytes]], ids: dict[bytes, int]) -> list[int]:
-    """Lowest-rank merging over byte strings; a pair counts with its first rank."""
-    ranks: dict[tuple[bytes, bytes], int] = {}
+Ranks = dict[tuple[bytes, bytes], int]
+
+
+def ranked(merges: list[tuple[bytes, bytes]]) -> Ranks:
+    """Pair to rank; a pair counts with its first rank."""
+    ranks: Ranks = {}
     for rank, pair in enumerate(merges):
         ranks.setdefault(pair, rank)
+    return ranks
+
+
+def encode(chunk: str, ranks: Ranks, ids: dict[bytes, int]) -> list[int]:
+    """Lowest-rank merging over byte strings."""
     parts = [bytes([b]) for b in chunk.encode()]
     while True:
         known = [(ranks[p], p) for p in zip(parts, parts[1:]) if p in ranks]

@@ -4,6 +4,7 @@ import dataclasses
 import json
 import random
 
+import pandas as pd
 import plain
 import pytest
 from pyspark.sql import functions as F
@@ -57,8 +58,9 @@ def variants(vocab):
 def plain_ids(texts, merges_hex=MERGES_64):
     merges = [tuple(bytes.fromhex(s) for s in m.split("+")) for m in merges_hex]
     ids = {bytes([b]): b for b in range(256)} | {a + b: 256 + r for r, (a, b) in enumerate(merges)}
+    ranks = plain.ranked(merges)
     return {
-        i: [x for chunk in plain.split(t) for x in plain.encode(chunk, merges, ids)] for i, t in enumerate(texts)
+        i: [x for chunk in plain.split(t) for x in plain.encode(chunk, ranks, ids)] for i, t in enumerate(texts)
     }
 
 
@@ -112,7 +114,8 @@ def test_unordered_merges_equal_plain_search(spark):
     texts = ["".join(rng.choice("abcd é") for _ in range(rng.randint(0, 60))) for _ in range(150)]
     # Chunks too long for the search plan.
     texts += ["".join(rng.choice("abcd") for _ in range(n)) for n in (511, 512, 513, 1500)]
-    expected = {i: [x for c in plain.split(t) for x in plain.encode(c, merges, ids)] for i, t in enumerate(texts)}
+    ranks = plain.ranked(merges)
+    expected = {i: [x for c in plain.split(t) for x in plain.encode(c, ranks, ids)] for i, t in enumerate(texts)}
     assert ids_by_doc(tokenize(frame(spark, texts), vocab)) == expected
 
 
@@ -274,6 +277,67 @@ def test_tokenizer_json_file(spark, tmp_path, pairs):
     assert ids_by_doc(tokenize(frame(spark, texts), loaded)) == {0: [256, 101, 311, 195, 160, 320]}
 
 
+def test_pattern_of_the_file(spark, tmp_path):
+    """The file's pattern is used, and text it does not match is kept."""
+    body = {
+        "model": {"type": "BPE", "vocab": {spelled(bytes([b])): b for b in range(256)}, "merges": []},
+        "pre_tokenizer": {"type": "Sequence", "pretokenizers": [{"type": "Split", "pattern": {"Regex": "\\d+|\\s"}}]},
+    }
+    path = tmp_path / "tokenizer.json"
+    path.write_text(json.dumps(body))
+    loaded = load_vocabulary(spark, str(path))
+    assert loaded.pattern == "(?U)\\d+|\\s"
+    text = "ab12 c\u00a0d٣4\n\nx"
+    row = spark.range(1).select(chunk_array(F.lit(text), loaded.pattern)).first()
+    assert row[0] == ["ab", "12", " ", "c", "\u00a0", "d", "٣4", "\n", "\n", "x"]
+    assert ids_by_doc(tokenize(frame(spark, [text]), loaded)) == {0: list(text.encode())}
+
+
+def test_kept_columns(spark):
+    for vocab in variants(vocabulary_64(spark)).values():
+        rows = frame(spark, ["the", None]).withColumn("role", F.lit("user"))
+        found = tokenize(rows, vocab, keep=["role", "text"])
+        assert found.columns == ["doc_id", "role", "text", "ids", "n_tokens", "ok"]
+        assert sorted((r["doc_id"], r["role"], r["text"], r["n_tokens"]) for r in found.collect()) == [
+            (0, "user", "the", 2), (1, "user", None, 0),
+        ]
+
+
+def corpus_vocabulary(spark, texts):
+    """A vocabulary of all chunk prefixes of some texts, shortest first: tens of thousands of merges."""
+    prefixes = {c.encode()[:n] for t in texts for c in plain.split(t) for n in range(2, len(c.encode()) + 1)}
+    merges = [(p[:-1], p[-1:]) for p in sorted(prefixes, key=lambda p: (len(p), p))]
+    ids = {bytes([b]): b for b in range(256)} | {a + b: 256 + r for r, (a, b) in enumerate(merges)}
+    tokens = pd.DataFrame({"id": list(ids.values()), "token": [spelled(t) for t in ids]})
+    raw = spark.createDataFrame(tokens, "id int, token string").select(
+        "id", "token", F.lit(1).alias("source_type"), F.lit(None).cast("float").alias("score")
+    )
+    pairs = pd.DataFrame(
+        {"rank": range(len(merges)), "left": [spelled(a) for a, _ in merges], "right": [spelled(b) for _, b in merges]}
+    )
+    return build_vocabulary(raw, spark.createDataFrame(pairs, "rank int, left string, right string")), merges, ids
+
+
+def test_vocabulary_of_real_size(spark):
+    """Tens of thousands of merges over all documents of the smallest tables."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    vocab, merges, ids = corpus_vocabulary(spark, texts.values())
+    assert vocab.in_order and vocab.n_merges == len(merges) > 20_000
+    ranks = plain.ranked(merges)
+    known: dict[str, list[int]] = {}
+    expected = {}
+    for doc, text in texts.items():
+        expected[doc] = []
+        for chunk in plain.split(text):
+            if chunk not in known:
+                known[chunk] = plain.encode(chunk, ranks, ids)
+            expected[doc] += known[chunk]
+    assert ids_by_doc(tokenize(docs, vocab)) == expected
+    searched = dataclasses.replace(vocab, in_order=False)
+    assert ids_by_doc(tokenize(docs, searched)) == expected
+
+
 def test_other_model_types_are_rejected(spark, tmp_path):
     path = tmp_path / "tokenizer.json"
     path.write_text(json.dumps({"model": {"type": "Unigram", "vocab": []}}))

@@ -30,9 +30,7 @@ _KEY = ["conv_id", "turn"]
 
 def _turns(spark: SparkSession, folder: str) -> DataFrame:
     """(conv_id, turn, role, text, ids): every turn beside its ids."""
-    texts = conversations(spark, folder, ["role"])
-    tokens = tokenize(texts.select(*_KEY, "text"), vocabulary_64(spark), _KEY)
-    return texts.join(tokens, _KEY)
+    return tokenize(conversations(spark, folder, ["role"]), vocabulary_64(spark), _KEY, keep=["role", "text"])
 
 
 def _messages(spark: SparkSession, folder: str) -> DataFrame:

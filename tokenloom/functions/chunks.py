@@ -30,6 +30,16 @@ def added_token_pattern(added: Sequence[str]) -> str:
     return "|".join(re.sub(r"([^\w\s])", r"\\\1", t) for t in sorted(added, key=lambda t: (-len(t), t)))
 
 
+def covering(pattern: str) -> str:
+    """A pattern that also takes the text between matches, each stretch as one chunk.
+
+    The default pattern matches every character already.
+    """
+    if pattern == DEFAULT_PATTERN:
+        return pattern
+    return f"(?:{pattern})|(?:(?!{pattern})[\\s\\S])+"
+
+
 def chunk_array(
     text: Column, pattern: str = DEFAULT_PATTERN, added: Sequence[str] = ()
 ) -> Column:
@@ -40,7 +50,7 @@ def chunk_array(
     """
 
     def split_plain(part: Column) -> Column:
-        return F.regexp_extract_all(part, F.lit(pattern), F.lit(0))
+        return F.regexp_extract_all(part, F.lit(covering(pattern)), F.lit(0))
 
     if not added:
         return split_plain(text)

@@ -25,8 +25,9 @@ def tokenize(
     vocab: Vocabulary,
     key: Sequence[str] = ("doc_id",),
     dictionary: Dictionary | None = None,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """(key.., ids, n_tokens, ok) of every row; ``key`` must be unique.
+    """(key.., keep.., ids, n_tokens, ok) of every row; ``key`` must be unique.
 
     A text that could not be encoded, because it is null or has a chunk the
     given dictionary lacks, has no ids and ``ok`` false.
@@ -36,11 +37,12 @@ def tokenize(
     bucketed by key the last gather then needs no shuffle.
     """
     if dictionary is None and vocab.literal_merges is not None:
-        return encode_inline(corpus, vocab, key)
+        return encode_inline(corpus, vocab, [*key, *keep])
     dictionary = dictionary or build_dictionary(corpus, vocab)
     given = corpus.withColumn("given", F.col("text").isNotNull())
     rows = occurrences(given, [*key, "given"], vocab, keep_blank=True)
-    return _gather(with_codes(rows, dictionary, ["state"]), key)
+    tokens = _gather(with_codes(rows, dictionary, ["state"]), key)
+    return corpus.select(*key, *keep).join(tokens, list(key)) if keep else tokens
 
 
 def encode_inline(corpus: DataFrame, vocab: Vocabulary, key: Sequence[str] = ("doc_id",)) -> DataFrame:

@@ -136,14 +136,20 @@ def build_vocabulary(
     )
 
 
-def load_vocabulary(spark: SparkSession, path: str, pattern: str = DEFAULT_PATTERN) -> Vocabulary:
-    """The vocabulary of one tokenizer.json file."""
+def load_vocabulary(spark: SparkSession, path: str, pattern: str | None = None) -> Vocabulary:
+    """The vocabulary of one tokenizer.json file.
+
+    Without ``pattern``, the file's own is used, with Unicode character classes
+    as such files mean them, or the default if it has none.
+    """
     parsed = read_tokenizer_json(spark, path)
-    errors = parsed.select("model_path", "error").take(2)
-    if len(errors) != 1:
+    found = parsed.select("model_path", "pattern", "error").take(2)
+    if len(found) != 1:
         raise ValueError(f"{path}: expected one tokenizer.json file")
-    if errors[0]["error"]:
-        raise ValueError(f"{path}: {errors[0]['error']}")
+    if found[0]["error"]:
+        raise ValueError(f"{path}: {found[0]['error']}")
+    if pattern is None:
+        pattern = f"(?U){found[0]['pattern']}" if found[0]["pattern"] else DEFAULT_PATTERN
     tokens = tokens_from_json(parsed)
     # One more than allowed, so that `build_vocabulary` sees a list that is too long.
     special = tokens.where(F.col("source_type") == 3).select("token", "id").take(MAX_ADDED_TOKENS + 1)

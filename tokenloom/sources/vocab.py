@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tokenloom.functions.chunks import normalize_pattern
+
 # The metadata keys a tokenizer needs.
 SCALAR_KEYS = {
     "tokenizer.ggml.model": ("model", "string"),
@@ -132,15 +134,21 @@ def select_metadata(kv: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 
 def parse_tokenizer_json(files: DataFrame, by: Sequence[str] = (), body: str = "value") -> DataFrame:
-    """Parse tokenizer.json texts to (by.., model_type, vocab, merges, added_tokens).
+    """Parse tokenizer.json texts to (by.., model_type, vocab, merges, added_tokens, pattern).
 
-    Merges may be written as "left right" strings or as [left, right] pairs;
+    ``pattern`` is the first pre-tokenizer pattern of the file, in the inline
+    spelling, or null. Merges may be written as "left right" strings or as [left, right] pairs;
     pairs are brought to the string form. Only byte-level BPE models are
     accepted: the others stay as rows with ``error`` set and no tables.
     """
     text = F.col(body)
+    pattern = F.coalesce(
+        F.get_json_object(text, "$.pre_tokenizer.pattern.Regex"),
+        F.get_json_object(text, "$.pre_tokenizer.pretokenizers[0].pattern.Regex"),
+    )
     parsed = files.select(
         *by,
+        normalize_pattern(pattern).alias("pattern"),
         F.from_json(text, _TOKENIZER_JSON).alias("t"),
         F.get_json_object(text, "$.model.merges[0][0]").isNotNull().alias("pairs"),
     )
@@ -156,6 +164,7 @@ def parse_tokenizer_json(files: DataFrame, by: Sequence[str] = (), body: str = "
         F.when(accepted, F.col("t.model.vocab")).alias("vocab"),
         F.when(accepted, merges).alias("merges"),
         F.when(accepted, F.col("t.added_tokens")).alias("added_tokens"),
+        "pattern",
         rejection(kind).alias("error"),
     )
 
