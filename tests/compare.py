@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import duckdb
-import pandas as pd
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
@@ -15,15 +14,6 @@ def connect(folder: str) -> duckdb.DuckDBPyConnection:
     return db
 
 
-def rows(frame: pd.DataFrame) -> list[tuple]:
-    frame = frame[sorted(frame.columns)]
-    values = [
-        tuple(None if v is None or v is pd.NA or v != v else v for v in row)
-        for row in frame.astype(object).itertuples(index=False)
-    ]
-    return sorted(values, key=repr)
-
-
 def spark_rows(df) -> tuple[list[str], list[tuple]]:
     names = sorted(df.columns)
     return names, sorted((tuple(r) for r in df.select(*names).collect()), key=repr)

@@ -26,6 +26,7 @@ from tokenloom.operators.vocab_tables import (
     validate_merges,
     vocab_summary,
 )
+from tokenloom.operators.vocabulary import validate_vocabulary
 from tokenloom.sources.vocab import (
     attributes_from_arrays,
     merges_from_arrays,
@@ -118,6 +119,17 @@ def test_merge_resolution(bad_merges):
     )
 
 
+def test_vocabulary_problems(spark):
+    schema = "m string, id int, token string, source_type int, score float"
+    tokens = spark.createDataFrame(
+        [("p", 0, "a", 1, None), ("p", 1, "a", 1, None), ("p", 2, "b", 1, None), ("q", 0, "a", 1, None)], schema
+    )
+    merges = spark.createDataFrame([("p", 0, "a", "b"), ("q", 5, "a", "")], "m string, rank int, left string, right string")
+    assert values(validate_vocabulary(tokens, merges, ["m"])) == [
+        ("p", "repeated token", 0), ("p", "unresolved: merged", 0), ("q", "unresolved: empty side", 5),
+    ]
+
+
 def test_concat_check(spark):
     tokens = spark.createDataFrame([(0, "61"), (1, "62"), (2, "6162"), (3, "63")], "id int, tok_hex string")
     merges = spark.createDataFrame([(0, 0, 1, 2), (1, 0, 1, 3)], "rank int, left_id int, right_id int, merged_id int")

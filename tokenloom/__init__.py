@@ -6,7 +6,12 @@ from tokenloom.operators.parity import parity, parity_summary
 from tokenloom.operators.requests import build_count_requests, build_requests, build_tokenize_requests
 from tokenloom.operators.tokens import detokenize, encode_inline, pair_counts, token_counts, tokenize
 from tokenloom.operators.vocab_tables import validate_merges
-from tokenloom.operators.vocabulary import Vocabulary, build_vocabulary, load_vocabulary
+from tokenloom.operators.vocabulary import (
+    Vocabulary,
+    build_vocabulary,
+    load_vocabulary,
+    validate_vocabulary,
+)
 from tokenloom.sources.corpus import read_corpus, stream_corpus
 from tokenloom.sources.replies import match_responses, parse_responses
 from tokenloom.streaming.encode_stream import encode_batches
@@ -34,4 +39,5 @@ __all__ = [
     "token_counts",
     "tokenize",
     "validate_merges",
+    "validate_vocabulary",
 ]

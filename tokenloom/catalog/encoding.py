@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from tokenloom.catalog import sql
 from tokenloom.catalog.base import Entry, conversations, documents, joined, long
 from tokenloom.fixtures import END_OF_TEXT, USER, vocabulary_64
-from tokenloom.functions.chunks import chunk_array
 from tokenloom.functions.codes import ids_of_state
 from tokenloom.functions.ids import PREVIEW_IDS, capped, ids_or_empty, preview_ids, with_bos
 from tokenloom.operators.dictionary import build_dictionary, count_chunks, occurrences

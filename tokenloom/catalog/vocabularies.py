@@ -26,6 +26,7 @@ from tokenloom.functions.chunks import (
 from tokenloom.operators.dictionary import count_chunks, occurrences
 from tokenloom.operators.vocab_tables import (
     byte_tokens,
+    concat_mismatches,
     duplicate_merges,
     first_ids,
     ids_for_texts,
@@ -431,6 +432,14 @@ def repeated_merges(spark: SparkSession, folder: str) -> DataFrame:
     return duplicate_merges(resolve_merges(merges, ids))
 
 
+def mismatched_merges(spark: SparkSession, folder: str) -> DataFrame:
+    """Merges with their sides swapped, whose bytes no longer give the merged token."""
+    ids = _ids_with_bytes(spark, folder)
+    merges = resolve_merges(_corpus_merges(spark, folder, documents(spark, folder)), ids)
+    swapped = merges.select("rank", F.col("right_id").alias("left_id"), F.col("left_id").alias("right_id"), "merged_id")
+    return concat_mismatches(swapped, ids)
+
+
 def merge_problems(spark: SparkSession, folder: str) -> DataFrame:
     """All problems of the merges of documents and conversations, counted."""
     ids = _ids_with_bytes(spark, folder)
@@ -492,5 +501,12 @@ ENTRIES: dict[str, Entry] = {
         SELECT left_id, right_id, count(*)::BIGINT AS listed, min(rank)::BIGINT AS rank FROM resolved
         GROUP BY left_id, right_id HAVING count(*) > 1""",
     ),
+    "mismatched_merges": Entry(
+        "AG9",
+        mismatched_merges,
+        f"""WITH {_IDS_WITH_BYTES_SQL}, {_merges_sql('documents')}, {_RESOLVED_SQL}
+        SELECT rank, right_id AS left_id, left_id AS right_id, merged_id FROM resolved
+        JOIN ids l ON l.id = left_id JOIN ids r ON r.id = right_id WHERE r.tok_hex || l.tok_hex <> l.tok_hex || r.tok_hex""",
+    ),
     "merge_problems": Entry("AG9", merge_problems, MERGE_PROBLEMS_SQL),
 }

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from tokenloom.functions.chunks import chunk_array
 from tokenloom.functions.codes import id_char
 from tokenloom.operators.vocabulary import Vocabulary
+from tokenloom.plans.workspace import written
 
 # Span starts handled by one row. A chunk of any length is cut into windows that
 # overlap by the longest token, so no row holds all spans of a long chunk.
@@ -123,8 +124,10 @@ def _search(state: Column, found: Column, size: Column) -> Column:
 
 
 def candidate_search(chunks: DataFrame, vocab: Vocabulary) -> DataFrame:
+    """Stores the chunks first: short and long ones are two readers, and the text is read once."""
+    chunks = written(chunks, "chunks")
     size = F.octet_length("chunk")
-    short = _candidates(chunks.where(size <= SEARCH_BYTES), vocab).select(
+    short = _candidates(chunks.where(F.coalesce(size, F.lit(0)) <= SEARCH_BYTES), vocab).select(
         *chunks.columns,
         _search(vocab.start_state(F.col("chunk")), F.col("found"), size).alias("state"),
     )

@@ -18,6 +18,7 @@ from tokenloom.operators.vocab_tables import (
     merge_order,
     resolve_merges,
     token_table,
+    validate_merges,
 )
 from tokenloom.plans.sizes import hinted
 from tokenloom.plans.workspace import written
@@ -136,6 +137,25 @@ def build_vocabulary(
     )
 
 
+def validate_vocabulary(tokens: DataFrame, merges: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Problems of raw tables as rows (by.., problem, place); ``place`` is an id or a rank.
+
+    Repeated token texts, then what `validate_merges` finds.
+    """
+    table = token_table(tokens, by)
+    lookup = written(first_ids(table, by), "ids")
+    repeated = (
+        table.groupBy(*by, "tok_hex")
+        .agg(F.count("*").alias("listed"), F.min("id").alias("place"))
+        .where("listed > 1")
+        .select(*by, F.lit("repeated token").alias("problem"), "place")
+    )
+    spelled = merges.select(
+        *by, "rank", token_hex(F.col("left")).alias("left"), token_hex(F.col("right")).alias("right")
+    )
+    return repeated.unionByName(validate_merges(spelled, lookup, by).withColumnRenamed("rank", "place"))
+
+
 def load_vocabulary(spark: SparkSession, path: str, pattern: str | None = None) -> Vocabulary:
     """The vocabulary of one tokenizer.json file.
 

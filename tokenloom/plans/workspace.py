@@ -12,17 +12,20 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+_local_folders: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
-    folder = spark.conf.get(_SETTING, None)
-    if not folder:
-        # Only a local session gets here: a cluster names its shared folder.
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError(f"set {_SETTING} to a folder every executor can reach")
-        folder = tempfile.mkdtemp(prefix="tokenloom-")
-        spark.conf.set(_SETTING, folder)
-    return folder.rstrip("/")
+    context = spark.sparkContext
+    folder = spark.conf.get(_SETTING, None) or context.getCheckpointDir()
+    if folder:
+        return folder.rstrip("/")
+    # Only a local session gets here: a cluster names its shared folder.
+    if not context.master.startswith("local"):
+        raise RuntimeError(f"set {_SETTING} to a folder every executor can reach")
+    if context.applicationId not in _local_folders:
+        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="tokenloom-")
+    return _local_folders[context.applicationId]
 
 
 def new_path(spark: SparkSession, name: str) -> str:
