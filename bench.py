@@ -30,6 +30,7 @@ HEADLINE = [
     "document_ids_by_dictionary",
     "document_ids_with_shuffled_dictionary",
     "round_trip",
+    "round_trip_by_join",
     "neighbour_ids",
     "compared_ids_summary",
     "request_messages",

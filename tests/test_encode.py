@@ -213,8 +213,10 @@ def test_counts_equal_ids(spark, plan, few):
     assert counts == {"a": 3, "b": 0, "c": 0, "d": sum(map(len, plain_ids(["日 and"]).values()))}
 
 
-def test_round_trip_and_chunks_rejoin(spark):
+@pytest.mark.parametrize("small", [True, False])
+def test_round_trip_and_chunks_rejoin(spark, small):
     vocab = vocabulary_64(spark)
+    vocab = vocab if small else dataclasses.replace(vocab, literal_tokens=None)
     texts = [*GOLDENS, *ODD_TEXTS]
     docs = frame(spark, texts)
     back = {r["doc_id"]: r["text"] for r in detokenize(tokenize(docs, vocab), vocab).collect()}
@@ -223,10 +225,14 @@ def test_round_trip_and_chunks_rejoin(spark):
     assert {r["doc_id"]: r["t"] for r in joined.collect()} == dict(enumerate(texts))
 
 
-def test_detokenize_unknown_id_is_null(spark):
-    ids = spark.createDataFrame([(1, [72, 99_999]), (2, [72])], "doc_id long, ids array<int>")
-    back = {r["doc_id"]: r["text"] for r in detokenize(ids, vocabulary_64(spark)).collect()}
-    assert back == {1: None, 2: "H"}
+@pytest.mark.parametrize("small", [True, False])
+def test_detokenize_unknown_id_is_null(spark, small):
+    vocab = vocabulary_64(spark)
+    vocab = vocab if small else dataclasses.replace(vocab, literal_tokens=None)
+    rows = [(1, [72, 99_999]), (2, [72]), (3, [-1]), (4, []), (5, None), (6, [72, None])]
+    ids = spark.createDataFrame(rows, "doc_id long, ids array<int>")
+    back = {r["doc_id"]: r["text"] for r in detokenize(ids, vocab).collect()}
+    assert back == {1: None, 2: "H", 3: None, 4: "", 5: "", 6: None}
 
 
 def test_pair_counts(spark):

@@ -205,6 +205,13 @@ def round_trip(spark: SparkSession, folder: str) -> DataFrame:
     return detokenize(tokenize(texts, vocab), vocab)
 
 
+def round_trip_by_join(spark: SparkSession, folder: str) -> DataFrame:
+    """The plan for a vocabulary of any size."""
+    vocab = dataclasses.replace(_as_large(vocabulary_64(spark)), literal_tokens=None)
+    texts = documents(spark, folder)
+    return detokenize(tokenize(texts, vocab), vocab)
+
+
 # -- counts -----------------------------------------------------------------
 
 
@@ -401,6 +408,7 @@ ENTRIES: dict[str, Entry] = {
     "previewed_ids": Entry("PRJ14", previewed_ids, _first_ids_sql(PREVIEW_IDS)),
     "failed_encodes": Entry("PRJ19", failed_encodes, FAILED_ENCODES_SQL),
     "round_trip": Entry("JN9", round_trip, "SELECT doc_id, text FROM documents"),
+    "round_trip_by_join": Entry("JN9", round_trip_by_join, "SELECT doc_id, text FROM documents"),
     "tokens_by_lang": Entry("AG3", tokens_by_lang, _counts_sql("documents", "lang")),
     "tokens_by_lang_by_dictionary": Entry("AG3", tokens_by_lang_by_dictionary, _counts_sql("documents", "lang")),
     "tokens_by_document_by_dictionary": Entry("AG3", tokens_by_document_by_dictionary, f"WITH {sql.rows_of_ids('documents', 'doc_id')} SELECT doc_id, n_tokens FROM tok"),

@@ -135,8 +135,25 @@ def oov_bytes(text: Column, vocab: Vocabulary) -> Column:
     return F.octet_length(text) - F.char_length(kept)
 
 
+def _read_inline(ids: Column, tokens: Sequence[str]) -> Column:
+    listed = F.split(F.lit(",".join(tokens)), ",")
+
+    def token(token_id: Column) -> Column:
+        return F.when(token_id >= 0, F.nullif(F.try_element_at(listed, token_id + 1), F.lit("")))
+
+    parts = F.transform(F.coalesce(ids, F.array().cast("array<int>")), token)
+    text = F.decode(F.unhex(F.array_join(parts, "")), "UTF-8")
+    return F.when(~F.exists(parts, lambda part: part.isNull()), text)
+
+
 def detokenize(tokens: DataFrame, vocab: Vocabulary, key: Sequence[str] = ("doc_id",)) -> DataFrame:
-    """(key.., text) from ids. An id outside the vocabulary makes the text null."""
+    """(key.., text) from ids. An id outside the vocabulary makes the text null.
+
+    With few tokens each row is read where it stands; with many, ids are
+    joined to the vocabulary and gathered by key.
+    """
+    if vocab.literal_tokens is not None:
+        return tokens.select(*key, _read_inline(F.col("ids"), vocab.literal_tokens).alias("text"))
     rows = tokens.select(*key, F.posexplode_outer("ids").alias("pos", "id"))
     lookup = vocab.tokens.select("id", "tok_hex", F.lit(True).alias("known"))
     # A vocabulary holds no more ids than `functions.codes` has characters.

@@ -30,6 +30,8 @@ from tokenloom.sources.vocab import (
 
 # Up to this many merges an ordered table is applied as one literal list.
 LITERAL_MERGES = 256
+# Ids below this make a literal list of token bytes.
+LITERAL_TOKENS = 4096
 # Added tokens become alternatives of one regular expression.
 MAX_ADDED_TOKENS = 10_000
 
@@ -42,6 +44,8 @@ class Vocabulary:
     ``merges``: (rank, left_id, right_id, merged_id, pattern, result, span);
     ``pattern`` and ``result`` are written one character per token and ``span``,
     the bytes of the merged token, one character per byte token.
+    ``literal_merges`` and ``literal_tokens`` (hex by id, empty for an unused
+    id) are there only for vocabularies small enough to be part of a plan.
     """
 
     tokens: DataFrame
@@ -53,6 +57,7 @@ class Vocabulary:
     max_span: int
     in_order: bool
     literal_merges: tuple[tuple[str, str], ...] | None
+    literal_tokens: tuple[str, ...] | None
     pattern: str = DEFAULT_PATTERN
     added: tuple[tuple[str, int], ...] = ()
 
@@ -122,6 +127,10 @@ def build_vocabulary(
     if facts["in_order"] and facts["n"] <= LITERAL_MERGES:
         ranked = ready.orderBy("rank").select("pattern", "result").collect()
         literal = tuple((r["pattern"], r["result"]) for r in ranked)
+    literal_tokens = None
+    if largest is not None and largest < LITERAL_TOKENS:
+        texts = {r["id"]: r["tok_hex"] for r in table.select("id", "tok_hex").collect()}
+        literal_tokens = tuple(texts.get(i, "") for i in range(largest + 1))
     return Vocabulary(
         tokens=table,
         merges=ready.drop("in_order"),
@@ -132,6 +141,7 @@ def build_vocabulary(
         max_span=max(2, facts["longest"]),
         in_order=facts["in_order"],
         literal_merges=literal,
+        literal_tokens=literal_tokens,
         pattern=pattern,
         added=tuple(added),
     )
