@@ -73,31 +73,31 @@ def text_state(vocab: Vocabulary, text: Column) -> Column:
 def _candidates(chunks: DataFrame, vocab: Vocabulary) -> DataFrame:
     """Chunks with ``found``, their possible merges as (rank, pattern, result).
 
-    Every span of two or more bytes, up to the longest token, is looked up
-    among the merged tokens. One span of one byte per chunk keeps chunks that
-    have no candidate. Chunks already hashed by ``chunk`` stay where they are.
+    Spans of two or more bytes are looked up among the merged tokens, from each
+    position as far as any token with the same first two bytes reaches. One
+    span of one byte per chunk keeps chunks that have no candidate. Chunks
+    already hashed by ``chunk`` stay where they are.
     """
     carried = chunks.columns
-    longest = vocab.max_span
     state = vocab.start_state(F.col("chunk"))
-    size = F.octet_length("chunk")
-    windows = F.greatest(F.ceil((size - 1) / WINDOW), F.lit(1)).cast("int")
+    windows = F.greatest(F.ceil((F.octet_length("chunk") - 1) / WINDOW), F.lit(1)).cast("int")
     rows = chunks.select(*carried, F.explode(F.sequence(F.lit(0), windows - 1)).alias("w"))
-    rows = rows.select(
-        *carried,
-        "w",
-        F.substring(state, F.col("w") * WINDOW + 1, F.lit(WINDOW + longest - 1)).alias("part"),
-    )
-    part_size = F.char_length("part")
-    starts = F.greatest(F.least(F.lit(WINDOW), part_size - 1), F.lit(1))
+    part = F.substring(state, F.col("w") * WINDOW + 1, F.lit(WINDOW + vocab.max_span - 1))
+    rows = rows.select(*carried, "w", part.alias("part"))
+    starts = F.greatest(F.least(F.lit(WINDOW), F.char_length("part") - 1), F.lit(1))
     rows = rows.select(*carried, "w", "part", F.explode(F.sequence(F.lit(1), starts)).alias("i"))
-    shortest = F.when((F.col("w") == 0) & (F.col("i") == 1), 1).otherwise(2)
     rows = rows.select(
         *carried,
         "part",
         "i",
-        F.explode(F.sequence(shortest, F.least(F.lit(longest), F.char_length("part") - F.col("i") + 1))).alias("l"),
+        ((F.col("w") == 0) & (F.col("i") == 1)).alias("keeps"),
+        F.substring("part", F.col("i"), F.lit(2)).alias("head"),
     )
+    # Two byte characters: at most 65,536 rows.
+    rows = rows.join(F.broadcast(vocab.heads), "head", "left").where("keeps or reach is not null")
+    shortest = F.when(F.col("keeps"), 1).otherwise(2)
+    longest = F.least(F.coalesce("reach", F.lit(1)), F.char_length("part") - F.col("i") + 1)
+    rows = rows.select(*carried, "part", "i", F.explode(F.sequence(shortest, longest)).alias("l"))
     rows = rows.select(*carried, "l", F.substring("part", F.col("i"), F.col("l")).alias("span"))
     merges = vocab.hinted_merges("span", "rank", "pattern", "result")
     hits = rows.join(merges, "span", "left").where(F.col("rank").isNotNull() | (F.col("l") == 1))

@@ -44,12 +44,15 @@ class Vocabulary:
     ``merges``: (rank, left_id, right_id, merged_id, pattern, result, span);
     ``pattern`` and ``result`` are written one character per token and ``span``,
     the bytes of the merged token, one character per byte token.
+    ``heads``: (head, reach), the first two characters of every span and the
+    length of the longest span that starts so; at most 256 x 256 rows.
     ``literal_merges`` and ``literal_tokens`` (hex by id, empty for an unused
     id) are there only for vocabularies small enough to be part of a plan.
     """
 
     tokens: DataFrame
     merges: DataFrame
+    heads: DataFrame
     byte_ids: tuple[int, ...]
     unknown_bytes: tuple[int, ...]
     n_merges: int
@@ -117,6 +120,9 @@ def build_vocabulary(
         "in_order",
     )
     ready = written(spans, "spans")
+    heads = ready.groupBy(F.left("span", F.lit(2)).alias("head")).agg(
+        F.max(F.char_length("span")).alias("reach")
+    )
     facts = ready.agg(
         F.count("*").alias("n"),
         F.coalesce(F.sum(F.octet_length("span") + 32), F.lit(0)).alias("bytes"),
@@ -134,6 +140,7 @@ def build_vocabulary(
     return Vocabulary(
         tokens=table,
         merges=ready.drop("in_order"),
+        heads=written(heads, "heads"),
         byte_ids=byte_ids,
         unknown_bytes=tuple(b for b in range(256) if b not in known),
         n_merges=facts["n"],
