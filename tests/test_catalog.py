@@ -6,6 +6,7 @@ import pytest
 from compare import connect, spark_rows, sql_rows
 
 import __spark_entry__ as contract
+from tokenloom.catalog import ENTRIES
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -15,7 +16,7 @@ def db():
     return connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(ENTRIES))
 def test_query_equals_sql(spark, db, name):
     sql = contract.oracle_sql().get(name)
     result = spark_rows(contract.queries()[name](spark, FOLDER))

@@ -6,6 +6,7 @@ they outlive any executor and cut the lineage behind them.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -20,8 +21,8 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get(_SETTING, None) or context.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    # Only a local session gets here: a cluster names its shared folder.
-    if not context.master.startswith("local"):
+    # Only a session within one JVM gets here: a cluster names its shared folder.
+    if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
         raise RuntimeError(f"set {_SETTING} to a folder every executor can reach")
     if context.applicationId not in _local_folders:
         _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="tokenloom-")
