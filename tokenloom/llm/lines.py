@@ -5,9 +5,8 @@ A key of at least ``min_chars`` code points found in at least ``min_docs`` docum
 loses all its lines, except in the document with the largest id that holds it.
 
 Texts are shuffled once, to be put together with their dropped positions; lines
-travel as two 64-bit hashes. Counting a key combines in each task first. A key
-that makes up over 1/``HEAVY`` of the shared lines is looked up by broadcast (there
-are at most ``HEAVY`` of those), so no key of the join that follows is hot.
+travel as two 64-bit hashes. Counting a key combines in each task first, and hot
+keys are looked up apart from the rest (``lookup.find``).
 
 Nulls and odd input: a null or empty text is one empty line, which is never dropped.
 Rows with one id are one document and each loses the same keys. A row with a null id
@@ -21,12 +20,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tokenloom.llm.arrow import quoted
+from tokenloom.llm.lookup import find
 from tokenloom.plans.workspace import written
 
 MIN_CHARS = 20
 MIN_DOCS = 3
-HEAVY = 10_000
-SPLITS = 1000
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 BLANK = " \t\n\x0b\x0c\r"
@@ -57,16 +55,8 @@ def dropped_positions(source: DataFrame, min_chars: int, min_docs: int) -> DataF
     lines = _keyed_lines(source, min_chars)
     counted = lines.groupBy("h1", "h2").agg(F.countDistinct("id").alias("n"), F.max("id").alias("owner"))
     shared = written(counted.where(F.col("n") >= min_docs), "shared-lines")
-    total = shared.agg(F.sum("n")).first()[0] or 0
-    is_heavy = F.col("n") * HEAVY > F.lit(total)
-    heavy = shared.where(is_heavy).select("h1", "h2", F.col("owner").alias("heavy_owner"))
-    light = shared.where(~is_heavy).select("h1", "h2", F.lit(0).alias("part"), F.col("owner").alias("light_owner"))
-    marked = lines.join(F.broadcast(heavy), ["h1", "h2"], "left")
-    # Lines that already have their owner are dealt out evenly and find nothing more.
-    part = F.when(F.col("heavy_owner").isNull(), 0).otherwise(1 + F.pmod(F.xxhash64("id", "pos"), F.lit(SPLITS)))
-    joined = marked.withColumn("part", part.cast("int")).join(light, ["h1", "h2", "part"], "left")
-    owner = F.coalesce("heavy_owner", "light_owner")
-    gone = joined.where(owner.isNotNull() & ~owner.eqNullSafe(F.col("id")))
+    found = find(lines, shared, ["h1", "h2"], "n", "owner")
+    gone = found.where(F.col("owner").isNotNull() & ~F.col("owner").eqNullSafe(F.col("id")))
     return gone.groupBy("id", "print").agg(F.collect_set("pos").alias("gone"))
 
 
