@@ -1,9 +1,10 @@
 """The queries of this subpackage by name, with SQL where it can express them."""
 
 from tokenloom.catalog.base import Entry
-from tokenloom.llm import lines, near, quality
+from tokenloom.llm import lines, near, packing, quality
 
 ENTRIES: dict[str, Entry] = {
+    "op2_best_fit_packing": Entry("packing", packing.packed_documents),
     "op4_line_dedup": Entry("line dedup", lines.deduplicated_lines, lines.SQL),
     "op9_near_dedup": Entry("near-duplicates", near.near_duplicate_documents),
     "op10_quality_rules": Entry("quality rules", quality.judged_documents),
