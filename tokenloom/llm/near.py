@@ -95,7 +95,7 @@ def _estimated(pairs: DataFrame, reps: DataFrame) -> DataFrame:
     return union.select("a", "b", share.alias("estimate")).where(F.col("estimate") >= SHARED)
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs that are similar enough by their full sets."""
     one = sets.select(F.col("rep").alias("a"), F.col("set").alias("left"))
     two = sets.select(F.col("rep").alias("b"), F.col("set").alias("right"))
@@ -187,12 +187,12 @@ def near_links(docs: DataFrame, reps: DataFrame, key: str = "doc_id", text: str
     )
     best = sides.groupBy("node").agg(F.max(F.struct("estimate", -F.col("a"), -F.col("b"))).alias("best"))
     first = best.select((-F.col("best.col2")).alias("a"), (-F.col("best.col3")).alias("b")).distinct()
-    links = written(_confirmed(first, sets), "confirmed")
+    links = written(confirmed(first, sets), "confirmed")
     groups = written(components(links), "groups")
 
     rest = _across(estimated, groups).join(first, ["a", "b"], "left_anti")
     rest = rest.union(_estimated(_left_in_long_lists(hot, groups), reps).select("a", "b")).distinct()
-    more = written(_confirmed(rest, sets), "confirmed")
+    more = written(confirmed(rest, sets), "confirmed")
     return components(links.union(more))
 
 

@@ -91,24 +91,29 @@ def windows(words: np.ndarray, counts: np.ndarray, width: int = WIDTH) -> tuple[
     return mix(sums[at]), per_text
 
 
-def shingle_sets(texts: Texts, width: int = WIDTH) -> list[np.ndarray]:
-    """The sorted distinct shingle hashes of each text, A-Z lower-cased.
+def shingles(texts: Texts, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
+    """Shingle hashes of each text in order, A-Z lower-cased, and their number.
 
     A text with fewer words than ``width`` has its whole word sequence as its one
     shingle; a text without words has none.
     """
     words = Words(texts, lower=True)
     hashes = words.hashes()
-    shingles, per_text = windows(hashes, words.counts, width)
-    ends = np.cumsum(per_text)
-    out = []
-    for i in range(len(texts)):
-        if per_text[i]:
-            out.append(np.unique(shingles[ends[i] - per_text[i] : ends[i]]))
-        elif words.counts[i]:
-            own = hashes[words.bounds[i] : words.bounds[i + 1]]
-            short = (own * _PLACE[1 : len(own) + 1]).sum(dtype=np.uint64) + _PLACE[20 + len(own)]
-            out.append(mix(np.array([short])))
-        else:
-            out.append(np.zeros(0, np.uint64))
-    return out
+    found, counts = windows(hashes, words.counts, width)
+    short = np.flatnonzero((words.counts > 0) & (words.counts < width))
+    if not len(short):
+        return found, counts
+    whole = np.zeros(len(short), np.uint64)
+    for n, i in enumerate(short):
+        own = hashes[words.bounds[i] : words.bounds[i + 1]]
+        whole[n] = (own * _PLACE[1 : len(own) + 1]).sum(dtype=np.uint64) ^ _PLACE[20 + len(own)]
+    found = np.insert(found, np.cumsum(counts)[short], mix(whole))
+    counts[short] = 1
+    return found, counts
+
+
+def shingle_sets(texts: Texts, width: int = WIDTH) -> list[np.ndarray]:
+    """The sorted distinct shingle hashes of each text."""
+    found, counts = shingles(texts, width)
+    ends = np.cumsum(counts)
+    return [np.unique(found[end - count : end]) for end, count in zip(ends, counts, strict=True)]
