@@ -1,12 +1,13 @@
 """The queries of this subpackage by name, with SQL where it can express them."""
 
 from tokenloom.catalog.base import Entry
-from tokenloom.llm import attribution, codec, fingerprints, lines, near, packing, quality
+from tokenloom.llm import attribution, codec, fingerprints, lines, near, packing, quality, secrets
 
 ENTRIES: dict[str, Entry] = {
     "op2_best_fit_packing": Entry("packing", packing.packed_documents),
     "op3_token_counts": Entry("token attribution", attribution.line_tokens),
     "op4_line_dedup": Entry("line dedup", lines.deduplicated_lines, lines.SQL),
+    "op5_secret_scans": Entry("secrets", secrets.secrets_in_documents, secrets.SQL),
     "op6_document_fingerprints": Entry("fingerprints", fingerprints.fingerprinted_documents),
     "op7_bpe": Entry("BPE codec", codec.encoded_documents),
     "op9_near_dedup": Entry("near-duplicates", near.near_duplicate_documents),
