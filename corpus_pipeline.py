@@ -9,13 +9,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tokenloom.catalog.base import Entry
-from tokenloom.llm import lines, near, quality
+from tokenloom.llm import lines, near, packing, pii, quality
 from tokenloom.plans.workspace import written
 
 STAGES = [
     ("quality rules", quality.keep_good),
     ("line dedup", lines.drop_lines),
     ("near dedup", near.keep_first),
+    ("pii", pii.redact_documents),
+    ("best-fit packing", packing.pack_texts),
 ]
 
 # Encoding to tokens has no SQL.

@@ -1,7 +1,7 @@
 """The queries of this subpackage by name, with SQL where it can express them."""
 
 from tokenloom.catalog.base import Entry
-from tokenloom.llm import attribution, codec, fingerprints, lines, near, packing, quality, secrets
+from tokenloom.llm import attribution, codec, fingerprints, lines, near, packing, pii, quality, secrets
 
 ENTRIES: dict[str, Entry] = {
     "op2_best_fit_packing": Entry("packing", packing.packed_documents),
@@ -10,6 +10,7 @@ ENTRIES: dict[str, Entry] = {
     "op5_secret_scans": Entry("secrets", secrets.secrets_in_documents, secrets.SQL),
     "op6_document_fingerprints": Entry("fingerprints", fingerprints.fingerprinted_documents),
     "op7_bpe": Entry("BPE codec", codec.encoded_documents),
+    "op8_pii": Entry("personal data", pii.personal_data_in_documents),
     "op9_near_dedup": Entry("near-duplicates", near.near_duplicate_documents),
     "op10_quality_rules": Entry("quality rules", quality.judged_documents),
 }
