@@ -1,9 +1,10 @@
 """The queries of this subpackage by name, with SQL where it can express them."""
 
 from tokenloom.catalog.base import Entry
-from tokenloom.llm import attribution, codec, fingerprints, lines, near, packing, pii, quality, secrets
+from tokenloom.llm import attribution, codec, fingerprints, lines, near, packing, pii, quality, secrets, urls
 
 ENTRIES: dict[str, Entry] = {
+    "op1_url_filters": Entry("URL filters", urls.judged_pages),
     "op2_best_fit_packing": Entry("packing", packing.packed_documents),
     "op3_token_counts": Entry("token attribution", attribution.line_tokens),
     "op4_line_dedup": Entry("line dedup", lines.deduplicated_lines, lines.SQL),
