@@ -43,17 +43,24 @@ class Rule:
     least: int = 1
     group: int = 0
     any_case: bool = False
+    # An expression with the same matches of at least ``least`` characters, and fewer short ones.
+    only_long: str | None = None
 
     @property
     def expression(self) -> str:
         return f"(?i){self.pattern}" if self.any_case else self.pattern
 
+    @property
+    def search(self) -> str:
+        return self.only_long or self.expression
+
 
 # The three base kinds.
 BASE = (
     Rule("assign", r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 12, 2, True),
     Rule("access", r"AKIA[A-Z0-9]+", 18),
-    Rule("hex", r"[0-9a-f]+", 16),
+    # A run of 16 or more is found at its start, so asking for 16 changes no match that counts.
+    Rule("hex", r"[0-9a-f]+", 16, only_long=r"[0-9a-f]{16,}"),
 )
 # Published formats of well-known credentials.
 EXTRA = (
@@ -96,12 +103,12 @@ def running_sums(numbers: Column) -> Column:
 
 
 def _matches(rule: Rule, text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(rule.expression), F.lit(0))
+    return F.regexp_extract_all(text, F.lit(rule.search), F.lit(0))
 
 
 def _spans(rule: Rule, order: int, text: Column, matches: Column) -> Column:
     """Spans of the matches (an array column) that are long enough."""
-    pieces = F.slice(F.split(text, rule.expression, -1), F.lit(1), F.size(matches))
+    pieces = F.slice(F.split(text, rule.search, -1), F.lit(1), F.size(matches))
     steps = F.zip_with(pieces, matches, lambda p, m: F.length(p) + F.length(m))
     found = F.zip_with(
         running_sums(steps),
