@@ -194,6 +194,7 @@ def _best_fit(left: np.ndarray, longest: int) -> list[tuple[tuple[int, ...], int
             grown = (*lengths, n)
             opened[room - n][grown] = opened[room - n].get(grown, 0) + used
             count -= used
+            room = room - n if room >= 2 * n else room  # what just took one may take the next
         if count:
             each = longest // n  # a sequence of its own takes as many of this length as fit
             for fill, made in ((each, count // each), (count % each, 1)):
