@@ -14,9 +14,10 @@ Two documents are linked when 100 * intersection >= 75 * union, confirmed on ful
 3. The bottom-k of the union of two sketches estimates their similarity; pairs
    clearly below the threshold go.
 4. The best candidate of each document is confirmed on full sets, which joins most
-   large groups at once. Then every candidate across two groups is confirmed, among
-   them all pairs that the long lists still hold between different groups. So no pair
-   is cut off by a cap: what is never compared is already in one group.
+   large groups at once. Then every candidate across two groups is confirmed. For the
+   documents of the long lists an exact prefix filter over their full sets gives the
+   candidates across groups. So no pair is cut off by a cap: what is never compared is
+   already in one group, or cannot be similar.
 
 Nulls and odd input: a null text is empty; a text without words has an empty set and
 is linked with nothing. A row with a null id is linked with nothing, has a null
@@ -26,9 +27,11 @@ An empty table gives an empty one. Other columns play no part.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tokenloom.llm.arrow import Texts, map_texts, quoted
@@ -44,6 +47,7 @@ FEW = 24  # values used by a document without values in long lists: 0.25^24 is n
 HOT = 16
 SHARED = 0.4
 LEADER_LISTS = 3
+STEP = 1.05
 
 SKETCH = "n_shingles long, s1 long, s2 long, sketch array<long>"
 
@@ -148,23 +152,64 @@ def candidates(reps: DataFrame) -> tuple[DataFrame, DataFrame]:
     return pairs.union(led).distinct(), hot
 
 
-def _left_in_long_lists(hot: DataFrame, groups: DataFrame) -> DataFrame:
-    """Pairs of different groups that share a value of a long list.
+def _rarest_first(hot: DataFrame, sets: DataFrame, groups: DataFrame) -> DataFrame:
+    """rep, n, group, value, pos: the shingles of the documents in ``hot``, rarest among these first.
 
-    Two similar documents that meet only in long lists share at least ``SHARED`` of
-    their values there, so each looks among all but that many of its own. Lists whose
-    documents are all in one group hold nothing more.
+    ``pos`` counts from 1. Shingles of one document alone are counted and left out.
+    """
+    full = hot.select("rep").join(sets, "rep")
+    full = _in_groups(full.select("rep", F.size("set").alias("n"), "set"), groups, "rep", "group")
+    entries = full.select("rep", "n", "group", F.explode("set").alias("value"))
+    shared = written(entries.groupBy("value").agg(F.count("*").alias("df")).where("df > 1"), "shared-shingles")
+    found = find(entries, shared.withColumn("weight", F.col("df")), ["value"], "weight", "df")
+    rarity = Window.partitionBy("rep").orderBy(F.coalesce("df", F.lit(1)), "value")
+    return found.withColumn("pos", F.row_number().over(rarity)).where("df IS NOT NULL")
+
+
+def _left_in_long_lists(hot: DataFrame, sets: DataFrame, groups: DataFrame) -> DataFrame:
+    """Candidate pairs of different groups among the documents that may meet in long lists only.
+
+    Exact prefix filter over full sets in order of rarity: with s <= l the sizes of a
+    pair, at least 3/7 (s + l) shingles are shared, so the first shared one stands no
+    later than s - 3/7 (s + l) + 1 and l - 3/7 (s + l) + 1. Sizes are part of the
+    join's key (in steps of ``STEP``), so that the larger document looks up a shingle
+    only for the sizes that its position leaves open. A document far from all others
+    begins with shingles of its own and looks up little or nothing.
+
+    Per key only documents outside its largest group look for partners: keys within one
+    group make no pair, and the members of a large group are not compared.
     """
-    marked = _in_groups(hot, groups, "rep", "group")
-    spare = F.greatest(F.lit(0), _least_hot() - 1)
-    marked = marked.withColumn("hot", F.slice("hot", F.lit(1), F.greatest(F.lit(1), F.size("hot") - spare).cast("int")))
-    entries = marked.select("rep", "n_shingles", "group", F.explode("hot").alias("value"))
-    mixed = entries.groupBy("value").agg(F.min("group").alias("low"), F.max("group").alias("high"))
-    entries = entries.join(mixed.where("low <> high").select("value"), "value")
-    other = entries.select(F.col("rep").alias("b"), F.col("n_shingles").alias("n_b"), F.col("group").alias("group_b"), "value")
-    joined = entries.withColumnRenamed("rep", "a").join(other, "value")
-    apart = (F.col("a") < F.col("b")) & (F.col("group") != F.col("group_b")) & _similar_sizes("n_shingles", "n_b")
-    return joined.where(apart).select("a", "b").distinct()
+    entries = written(_rarest_first(hot, sets, groups), "rarest-first")
+    n, pos = F.col("n"), F.col("pos")
+
+    def step(size: Column) -> Column:
+        return F.floor(F.log(size.cast("double")) / math.log(STEP)).cast("int")
+
+    small = entries.where(pos <= n - F.ceil(6 * n / 7) + 1).select("rep", "n", "group", "value", step(n).alias("step"))
+    most = F.least(n, F.floor(7 * (n + 1 - pos) / 3 - n).cast("int"))
+    least = F.ceil(n * SIMILAR / 100).cast("int")
+    large = entries.where(most >= least).select(
+        "rep", "n", "group", "value", F.explode(F.sequence(step(least), step(most))).alias("step")
+    )
+    keys = ["value", "step"]
+    sizes = small.select(*keys, "group").union(large.select(*keys, "group")).groupBy(*keys, "group").count()
+    mixed = sizes.groupBy(*keys).agg(F.count("*").alias("groups"), F.max_by("group", F.struct("count", "group")).alias("main"))
+    mixed = written(mixed.where("groups > 1").select(*keys, "main"), "mixed-keys")
+    small = small.join(mixed, keys)
+    large = large.join(mixed.withColumnRenamed("main", "main_l"), keys).select(
+        *keys,
+        F.col("rep").alias("rep_l"),
+        F.col("n").alias("n_l"),
+        F.col("group").alias("group_l"),
+        "main_l",
+    )
+    apart = "group <> group_l AND n <= n_l"
+    pairs = [
+        small.where("group <> main").join(large, keys).where(apart),
+        small.where("group = main").join(large.where("group_l <> main_l"), keys).where(apart),
+    ]
+    ends = [p.select(F.least("rep", "rep_l").alias("a"), F.greatest("rep", "rep_l").alias("b")) for p in pairs]
+    return ends[0].union(ends[1]).distinct()
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFrame:
@@ -191,7 +236,7 @@ def near_links(docs: DataFrame, reps: DataFrame, key: str = "doc_id", text: str
     groups = written(components(links), "groups")
 
     rest = _across(estimated, groups).join(first, ["a", "b"], "left_anti")
-    rest = rest.union(_estimated(_left_in_long_lists(hot, groups), reps).select("a", "b")).distinct()
+    rest = rest.union(_estimated(_left_in_long_lists(hot, sets, groups), reps).select("a", "b")).distinct()
     more = written(confirmed(rest, sets), "confirmed")
     return components(links.union(more))
 
