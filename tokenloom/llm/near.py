@@ -185,11 +185,11 @@ def _left_in_long_lists(hot: DataFrame, sets: DataFrame, groups: DataFrame) -> D
     def step(size: Column) -> Column:
         return F.floor(F.log(size.cast("double")) / math.log(STEP)).cast("int")
 
-    small = entries.where(pos <= n - F.ceil(6 * n / 7) + 1).select("rep", "n", "group", "value", step(n).alias("step"))
+    small = entries.where(pos <= n - F.ceil(6 * n / 7) + 1).select("rep", "n", "pos", "group", "value", step(n).alias("step"))
     most = F.least(n, F.floor(7 * (n + 1 - pos) / 3 - n).cast("int"))
     least = F.ceil(n * SIMILAR / 100).cast("int")
     large = entries.where(most >= least).select(
-        "rep", "n", "group", "value", F.explode(F.sequence(step(least), step(most))).alias("step")
+        "rep", "n", "pos", "group", "value", F.explode(F.sequence(step(least), step(most))).alias("step")
     )
     keys = ["value", "step"]
     sizes = small.select(*keys, "group").union(large.select(*keys, "group")).groupBy(*keys, "group").count()
@@ -200,10 +200,12 @@ def _left_in_long_lists(hot: DataFrame, sets: DataFrame, groups: DataFrame) -> D
         *keys,
         F.col("rep").alias("rep_l"),
         F.col("n").alias("n_l"),
+        F.col("pos").alias("pos_l"),
         F.col("group").alias("group_l"),
         "main_l",
     )
-    apart = "group <> group_l AND n <= n_l"
+    # No more is shared from a pair's first shared shingle on than what is left of either document.
+    apart = "group <> group_l AND n <= n_l AND 7 * (1 + least(n - pos, n_l - pos_l)) >= 3 * (n + n_l)"
     pairs = [
         small.where("group <> main").join(large, keys).where(apart),
         small.where("group = main").join(large.where("group_l <> main_l"), keys).where(apart),
