@@ -299,6 +299,61 @@ def test_pattern_of_the_file(spark, tmp_path):
     assert ids_by_doc(tokenize(frame(spark, [text]), loaded)) == {0: list(text.encode())}
 
 
+BYTES_ONLY = {"type": "BPE", "vocab": {spelled(bytes([b])): b for b in range(256)}, "merges": []}
+
+
+def test_byte_level_files_have_the_published_pattern(spark, tmp_path):
+    path = tmp_path / "tokenizer.json"
+    path.write_text(json.dumps({"model": BYTES_ONLY, "pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": False}}))
+    loaded = load_vocabulary(spark, str(path))
+    row = spark.range(1).select(chunk_array(F.lit("I'll be  there, 12\n"), loaded.pattern)).first()
+    assert row[0] == ["I", "'ll", " be", " ", " there", ",", " 12", "\n"]
+
+
+@pytest.mark.parametrize(
+    "changed, reason",
+    [
+        ({"normalizer": {"type": "NFC"}}, "normalizer"),
+        ({"model": BYTES_ONLY | {"ignore_merges": True}}, "ignore_merges"),
+        ({"model": BYTES_ONLY | {"end_of_word_suffix": "</w>"}}, "end_of_word_suffix"),
+        ({"pre_tokenizer": {"type": "Whitespace"}}, "pre_tokenizer"),
+        ({"pre_tokenizer": {"type": "Split", "pattern": {"String": " "}}}, "pre_tokenizer"),
+    ],
+)
+def test_files_that_ask_for_more_are_refused(spark, tmp_path, changed, reason):
+    path = tmp_path / "tokenizer.json"
+    path.write_text(json.dumps({"model": BYTES_ONLY} | changed))
+    with pytest.raises(ValueError, match=reason):
+        load_vocabulary(spark, str(path))
+
+
+def test_fields_that_change_nothing_are_accepted(spark, tmp_path):
+    idle = {"ignore_merges": False, "continuing_subword_prefix": "", "end_of_word_suffix": None, "byte_fallback": False}
+    path = tmp_path / "tokenizer.json"
+    path.write_text(json.dumps({"model": BYTES_ONLY | idle, "normalizer": None, "pre_tokenizer": None}))
+    assert load_vocabulary(spark, str(path)).n_merges == 0
+
+
+def test_null_keys_are_kept(spark):
+    rows = spark.createDataFrame([(1, "the", "a"), (None, "an", "b")], "doc_id long, text string, lang string")
+    for vocab in variants(vocabulary_64(spark)).values():
+        found = tokenize(rows, vocab, keep=["lang"]).collect()
+        assert sorted((r["lang"], r["doc_id"]) for r in found) == [("a", 1), ("b", None)]
+
+
+def test_cut_characters_lose_only_their_row(spark):
+    rows = spark.createDataFrame([(1, [195]), (2, [195, 169]), (3, [9999])], "doc_id long, ids array<int>")
+    for vocab in variants(vocabulary_64(spark)).values():
+        assert dict(detokenize(rows, vocab).collect()) == {1: None, 2: "é", 3: None}
+
+
+def test_a_repeated_candidate_counts_once(spark):
+    vocab = variants(vocabulary_64(spark))
+    chunks = spark.createDataFrame([("!" * 5000,)], "chunk string")
+    for kind in vocab.values():
+        assert encode_chunks(chunks, kind).first()["n_tokens"] == 2500
+
+
 def test_kept_columns(spark):
     for vocab in variants(vocabulary_64(spark)).values():
         rows = frame(spark, ["the", None]).withColumn("role", F.lit("user"))

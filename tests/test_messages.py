@@ -63,12 +63,15 @@ def test_replies(spark):
         (3, 200, '{"input_tokens": 7}'),
         (4, 500, "x"),
         (5, 200, "broken"),
+        (6, 500, None),
+        (7, None, "y"),
     ]
     responses = spark.createDataFrame(rows, "request_id long, status int, body string")
     found = {r["request_id"]: r for r in parse_responses(responses, "tokenize").collect()}
     assert found[1]["tokens"] == [9419, 11] and found[2]["tokens"] == [] and found[3]["input_tokens"] == 7
-    assert [found[i]["ok"] for i in range(1, 6)] == [True, True, True, False, False]
+    assert [found[i]["ok"] for i in range(1, 8)] == [True, True, True, False, False, False, False]
     assert found[4]["error"] == "tokenize returned 500: x" and found[5]["error"] is None
+    assert found[6]["error"] == "tokenize returned 500: no body" and found[7]["error"] == "tokenize returned no status: y"
     requests = spark.createDataFrame([(1,), (9,)], "request_id long")
     matched = {r["request_id"]: r["answered"] for r in match_responses(requests, responses).collect()}
     assert matched == {1: True, 9: False}

@@ -101,7 +101,8 @@ def _candidates(chunks: DataFrame, vocab: Vocabulary) -> DataFrame:
     rows = rows.select(*carried, "l", F.substring("part", F.col("i"), F.col("l")).alias("span"))
     merges = vocab.hinted_merges("span", "rank", "pattern", "result")
     hits = rows.join(merges, "span", "left").where(F.col("rank").isNotNull() | (F.col("l") == 1))
-    found = F.collect_list(F.when(F.col("rank").isNotNull(), F.struct("rank", "pattern", "result")))
+    # A candidate counts once, however often the chunk repeats it.
+    found = F.collect_set(F.when(F.col("rank").isNotNull(), F.struct("rank", "pattern", "result")))
     return hits.groupBy(*carried).agg(F.sort_array(found).alias("found"))
 
 

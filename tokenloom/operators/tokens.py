@@ -42,7 +42,12 @@ def tokenize(
     given = corpus.withColumn("given", F.col("text").isNotNull())
     rows = occurrences(given, [*key, "given"], vocab, keep_blank=True)
     tokens = _gather(with_codes(rows, dictionary, ["state"]), key)
-    return corpus.select(*key, *keep).join(tokens, list(key)) if keep else tokens
+    if not keep:
+        return tokens
+    # Null keys are keys too.
+    same = [F.col(f"c.{name}").eqNullSafe(F.col(f"t.{name}")) for name in key]
+    joined = corpus.select(*key, *keep).alias("c").join(tokens.alias("t"), same)
+    return joined.select("c.*", "ids", "n_tokens", "ok")
 
 
 def encode_inline(corpus: DataFrame, vocab: Vocabulary, key: Sequence[str] = ("doc_id",)) -> DataFrame:
@@ -135,6 +140,11 @@ def oov_bytes(text: Column, vocab: Vocabulary) -> Column:
     return F.octet_length(text) - F.char_length(kept)
 
 
+def _text(spelled: Column) -> Column:
+    """The text of hex bytes; null where they are no whole characters, as in a cut id list."""
+    return F.try_validate_utf8(F.unhex(spelled).cast("string"))
+
+
 def _read_inline(ids: Column, tokens: Sequence[str]) -> Column:
     listed = F.split(F.lit(",".join(tokens)), ",")
 
@@ -142,12 +152,15 @@ def _read_inline(ids: Column, tokens: Sequence[str]) -> Column:
         return F.when(token_id >= 0, F.nullif(F.try_element_at(listed, token_id + 1), F.lit("")))
 
     parts = F.transform(F.coalesce(ids, F.array().cast("array<int>")), token)
-    text = F.decode(F.unhex(F.array_join(parts, "")), "UTF-8")
+    text = _text(F.array_join(parts, ""))
     return F.when(~F.exists(parts, lambda part: part.isNull()), text)
 
 
 def detokenize(tokens: DataFrame, vocab: Vocabulary, key: Sequence[str] = ("doc_id",)) -> DataFrame:
-    """(key.., text) from ids. An id outside the vocabulary makes the text null.
+    """(key.., text) from ids.
+
+    An id outside the vocabulary makes the text null, and so do ids that end or
+    begin within a character.
 
     With few tokens each row is read where it stands; with many, ids are
     joined to the vocabulary and gathered by key.
@@ -163,5 +176,5 @@ def detokenize(tokens: DataFrame, vocab: Vocabulary, key: Sequence[str] = ("doc_
         in_order(F.col("tok_hex")).alias("parts"),
         F.bool_and(F.col("known").isNotNull() | F.col("pos").isNull()).alias("known"),
     )
-    text = F.decode(F.unhex(F.array_join("parts.tok_hex", "")), "UTF-8")
+    text = _text(F.array_join("parts.tok_hex", ""))
     return whole.select(*key, F.when(F.col("known"), text).alias("text"))

@@ -177,7 +177,7 @@ def load_vocabulary(spark: SparkSession, path: str, pattern: str | None = None)
     """The vocabulary of one tokenizer.json file.
 
     Without ``pattern``, the file's own is used, with Unicode character classes
-    as such files mean them, or the default if it has none.
+    as such files mean them, or the default if it has no pre-tokenizer.
     """
     parsed = read_tokenizer_json(spark, path)
     found = parsed.select("model_path", "pattern", "error").take(2)

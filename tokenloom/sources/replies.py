@@ -19,10 +19,11 @@ def reply_count(body: Column) -> Column:
 
 
 def reply_error(status: Column, body: Column, action: str = "request") -> Column:
-    """Message of a failed request; null for status 200."""
+    """Message of a failed request, also without a status or body; null for status 200."""
+    code = F.coalesce(status.cast("string"), F.lit("no status"))
     return F.when(
-        status != 200,
-        F.concat(F.lit(action), F.lit(" returned "), status.cast("string"), F.lit(": "), body),
+        ~status.eqNullSafe(200),
+        F.concat(F.lit(action), F.lit(" returned "), code, F.lit(": "), F.coalesce(body, F.lit("no body"))),
     )
 
 

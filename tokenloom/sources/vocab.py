@@ -38,6 +38,20 @@ _TOKENIZER_JSON = (
 )
 
 
+# Fixed value: the published pattern of a byte-level pre-tokenizer that names none.
+BYTE_LEVEL_PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+PLACES = 4  # steps of a pre-tokenizer sequence that are looked at; longer ones are not accepted
+
+# Fields of a tokenizer.json file that change ids and are not built here.
+UNBUILT = (
+    "normalizer",
+    "model.ignore_merges",
+    "model.continuing_subword_prefix",
+    "model.end_of_word_suffix",
+    "model.byte_fallback",
+)
+
+
 def named_empty(token: Column, token_id: Column) -> Column:
     """An empty token is called ``[EMPTY_<id>]`` so that every entry has a text."""
     return F.when(token == "", F.concat(F.lit("[EMPTY_"), token_id.cast("string"), F.lit("]"))).otherwise(token)
@@ -136,24 +150,40 @@ def select_metadata(kv: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 def parse_tokenizer_json(files: DataFrame, by: Sequence[str] = (), body: str = "value") -> DataFrame:
     """Parse tokenizer.json texts to (by.., model_type, vocab, merges, added_tokens, pattern).
 
-    ``pattern`` is the first pre-tokenizer pattern of the file, in the inline
-    spelling, or null. Merges may be written as "left right" strings or as [left, right] pairs;
+    ``pattern`` is the file's pre-tokenizer pattern, in the inline spelling; null
+    if the file has no pre-tokenizer. One that splits otherwise, or by more than
+    one pattern, sets ``error``. Merges may be written as "left right" strings or as [left, right] pairs;
     pairs are brought to the string form. Only byte-level BPE models are
-    accepted: the others stay as rows with ``error`` set and no tables.
+    accepted, and only without the fields of ``UNBUILT``, which would change ids:
+    the others stay as rows with ``error`` set and no tables.
     """
     text = F.col(body)
-    pattern = F.coalesce(
-        F.get_json_object(text, "$.pre_tokenizer.pattern.Regex"),
-        F.get_json_object(text, "$.pre_tokenizer.pretokenizers[0].pattern.Regex"),
+    patterns = F.array_compact(
+        F.array(
+            F.get_json_object(text, "$.pre_tokenizer.pattern.Regex"),
+            *[F.get_json_object(text, f"$.pre_tokenizer.pretokenizers[{i}].pattern.Regex") for i in range(PLACES)],
+        )
+    )
+    given = F.get_json_object(text, "$.pre_tokenizer").isNotNull()
+    own = F.get_json_object(text, "$.pre_tokenizer.type") == "ByteLevel"
+    own &= F.coalesce(F.get_json_object(text, "$.pre_tokenizer.use_regex"), F.lit("true")) == "true"
+    pattern = F.coalesce(F.try_element_at(patterns, F.lit(1)), F.when(own, F.lit(BYTE_LEVEL_PATTERN)))
+    unsplit = F.when(
+        (F.size(patterns) > 1)
+        | (given & pattern.isNull())
+        | F.get_json_object(text, f"$.pre_tokenizer.pretokenizers[{PLACES}]").isNotNull(),
+        F.lit("not supported: pre_tokenizer"),
     )
     parsed = files.select(
         *by,
         normalize_pattern(pattern).alias("pattern"),
         F.from_json(text, _TOKENIZER_JSON).alias("t"),
         F.get_json_object(text, "$.model.merges[0][0]").isNotNull().alias("pairs"),
+        F.coalesce(unbuilt(text), unsplit).alias("refused"),
     )
     kind = F.col("t.model.type")
-    accepted = F.coalesce(kind == "BPE", F.lit(False))
+    error = F.coalesce(rejection(kind), F.col("refused"))
+    accepted = error.isNull()
     merges = F.when(
         F.col("pairs"),
         F.transform("t.model.merges", lambda m: F.array_join(F.from_json(m, "array<string>"), " ")),
@@ -165,7 +195,20 @@ def parse_tokenizer_json(files: DataFrame, by: Sequence[str] = (), body: str = "
         F.when(accepted, merges).alias("merges"),
         F.when(accepted, F.col("t.added_tokens")).alias("added_tokens"),
         "pattern",
-        rejection(kind).alias("error"),
+        error.alias("error"),
+    )
+
+
+def unbuilt(text: Column) -> Column:
+    """Which field of a tokenizer.json text asks for something that is not built; null when none does."""
+    return F.coalesce(
+        *[
+            F.when(
+                ~F.coalesce(F.get_json_object(text, f"$.{path}"), F.lit("")).isin("", "false", "[]", "null"),
+                F.lit(f"not supported: {path}"),
+            )
+            for path in UNBUILT
+        ]
     )
 
 
