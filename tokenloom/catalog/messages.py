@@ -169,11 +169,8 @@ def answered_requests(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def reply_previews(spark: SparkSession, folder: str) -> DataFrame:
-    replies = _responses(spark, folder).where("status <> 200")
-    texts = conversations(spark, folder)
-    return texts.join(replies.select(F.col("request_id").alias("conv_id")), "conv_id", "left_semi").select(
-        *_KEY, preview_text(F.col("text")).alias("preview")
-    )
+    """The start of every reply's body."""
+    return _responses(spark, folder).select("request_id", preview_text(F.col("body")).alias("preview"))
 
 
 ENTRIES: dict[str, Entry] = {
@@ -203,7 +200,9 @@ ENTRIES: dict[str, Entry] = {
     "reply_previews": Entry(
         "PRJ14",
         reply_previews,
-        f"""WITH {_RESPONSES_SQL} SELECT conv_id, turn, substr(text, 1, {PREVIEW_CHARS}) AS preview FROM conversations
-        WHERE conv_id IN (SELECT request_id FROM responses WHERE kind = 'error')""",
+        f"""WITH {_RESPONSES_SQL}, bodies AS (
+          SELECT request_id, CASE kind WHEN 'tokens' THEN '{{"tokens":[' || replace(ids, ' ', ',') || ']}}'
+            WHEN 'count' THEN '{{"input_tokens":' || n || '}}' ELSE last END AS body FROM responses)
+        SELECT request_id, substr(body, 1, {PREVIEW_CHARS}) AS preview FROM bodies""",
     ),
 }

@@ -282,11 +282,9 @@ _BYTE_SQL = """CASE WHEN {c} BETWEEN 33 AND 126 OR {c} BETWEEN 161 AND 172 OR {c
       WHEN {c} BETWEEN 256 AND 288 THEN {c} - 256 WHEN {c} BETWEEN 289 AND 322 THEN {c} - 162 WHEN {c} = 323 THEN 173 END"""
 
 TOKEN_BYTES_SQL = f"""WITH words AS (SELECT DISTINCT unnest(string_split(text, ' ')) AS token FROM documents),
-    chars AS (SELECT token, unnest(range(1, length(token) + 1)) AS i, unnest(string_split(token, '')) AS c FROM words WHERE token <> ''),
-    bytes AS (SELECT token, i, {_BYTE_SQL.format(c='unicode(c)')} AS b FROM chars),
-    spelled AS (
-      SELECT token, string_agg(printf('%02X', b), '' ORDER BY i) AS h, count(b) = count(*) AS whole FROM bytes GROUP BY token)
-    SELECT token, CASE WHEN coalesce(whole, false) THEN h ELSE hex(token) END AS tok_hex FROM words LEFT JOIN spelled USING (token)"""
+    spelled AS (SELECT token, list_transform(string_split(token, ''), lambda c: {_BYTE_SQL.format(c='unicode(c)')}) AS b FROM words)
+    SELECT token, CASE WHEN token <> '' AND len(list_filter(b, lambda x: x IS NULL)) = 0
+      THEN array_to_string(list_transform(b, lambda x: printf('%02X', x)), '') ELSE hex(token) END AS tok_hex FROM spelled"""
 
 
 def character_bytes(spark: SparkSession, folder: str) -> DataFrame:
