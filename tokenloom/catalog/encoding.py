@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tokenloom.catalog import sql
 from tokenloom.catalog.base import Entry, conversations, documents, joined, long
-from tokenloom.fixtures import END_OF_TEXT, USER, vocabulary_64
+from tokenloom.fixtures import END_OF_TEXT, MERGES_64, USER, vocabulary_64
 from tokenloom.functions.codes import ids_of_state
 from tokenloom.functions.ids import PREVIEW_IDS, capped, ids_or_empty, preview_ids, with_bos
 from tokenloom.operators.dictionary import build_dictionary, count_chunks, occurrences
@@ -180,6 +180,21 @@ def previewed_ids(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.select("doc_id", joined(preview_ids(F.col("ids"))).alias("ids"), long("n_tokens"))
 
 
+def preview_texts(spark: SparkSession, folder: str) -> DataFrame:
+    """The text of each document's first ids; null where they end within a character."""
+    vocab = vocabulary_64(spark)
+    tokens = tokenize(documents(spark, folder), vocab)
+    return detokenize(tokens.select("doc_id", preview_ids(F.col("ids")).alias("ids")), vocab)
+
+
+_SPELLED = [f"{b:02X}" for b in range(256)] + [m.replace("+", "") for m in MERGES_64]
+PREVIEW_TEXTS_SQL = f"""WITH {sql.rows_of_ids('documents', 'doc_id')},
+    firsts AS (SELECT doc_id, list_slice(string_split(ids, ' '), 1, {PREVIEW_IDS}) AS ids FROM tok),
+    spelled AS (SELECT doc_id, array_to_string(list_transform(list_filter(ids, lambda i: i <> ''),
+      lambda i: string_split('{",".join(_SPELLED)}', ',')[i::BIGINT + 1]), '') AS hex FROM firsts)
+    SELECT doc_id, TRY(decode(unhex(hex))) AS text FROM spelled"""
+
+
 def _first_ids_sql(size: int) -> str:
     return f"""WITH {sql.rows_of_ids('documents', 'doc_id')}
     SELECT doc_id, array_to_string(list_slice(string_split(ids, ' '), 1, {size}), ' ') AS ids, n_tokens FROM tok"""
@@ -406,6 +421,7 @@ ENTRIES: dict[str, Entry] = {
     "bos_ids": Entry("PRJ12", bos_ids, BOS_IDS_SQL),
     "capped_ids": Entry("PRJ13", capped_ids, _first_ids_sql(CAP)),
     "previewed_ids": Entry("PRJ14", previewed_ids, _first_ids_sql(PREVIEW_IDS)),
+    "preview_texts": Entry("PRJ14, JN9", preview_texts, PREVIEW_TEXTS_SQL),
     "failed_encodes": Entry("PRJ19", failed_encodes, FAILED_ENCODES_SQL),
     "round_trip": Entry("JN9", round_trip, "SELECT doc_id, text FROM documents"),
     "round_trip_by_join": Entry("JN9", round_trip_by_join, "SELECT doc_id, text FROM documents"),

@@ -159,14 +159,18 @@ def ranked_merges(spark: SparkSession, folder: str) -> DataFrame:
 
 
 _KEPT = """SELECT doc_id, source AS model, lang AS pre, n_chars AS bos_id, n_chars + 1 AS eos_id,
-      NULL::BIGINT AS pad_id, NULL::BIGINT AS unknown_id, lang = 'en' AS add_bos,
+      CASE WHEN lang = 'en' THEN n_chars + 2 END AS pad_id, CASE WHEN lang <> 'de' THEN n_chars + 3 END AS unknown_id,
+      lang = 'en' AS add_bos,
       len(string_split_regex(text, '[. \\n]'))::BIGINT AS n_tokens,
-      len(string_split_regex(text, '[.\\n]'))::BIGINT AS n_merges
+      len(string_split_regex(text, '[.\\n]'))::BIGINT AS n_merges,
+      list_sum(list_transform(string_split_regex(text, '[. \\n]'), lambda w: length(w)))::BIGINT AS sum_types,
+      CASE WHEN lang <> 'fr' THEN list_sum(list_transform(string_split_regex(text, '[. \\n]'), lambda w: length(w) / 2)) END::DOUBLE
+        AS sum_scores
     FROM documents"""
 
 
 def metadata(spark: SparkSession, folder: str) -> DataFrame:
-    """Key/value rows of every model, from which the known keys are picked."""
+    """Key/value rows of every model, from which the known keys are picked; some models lack some keys."""
     texts = documents(spark, folder, ["source", "lang", "n_chars"])
 
     def pair(key: str, value) -> F.Column:
@@ -176,17 +180,24 @@ def metadata(spark: SparkSession, folder: str) -> DataFrame:
         # to_json takes no bare scalars, so a value is written inside an array.
         return F.regexp_extract(F.to_json(F.array(value)), r"(?s)^\[(.*)\]$", 1)
 
+    words = F.split("text", _WORDS, -1)
+    sizes = F.transform(words, F.char_length)
+    halves = F.transform(words, lambda w: F.char_length(w) / 2)
     pairs = F.array(
         pair("tokenizer.ggml.model", as_json(F.col("source"))),
         pair("tokenizer.ggml.pre", as_json(F.col("lang"))),
         pair("tokenizer.ggml.bos_token_id", as_json(F.col("n_chars"))),
         pair("tokenizer.ggml.eos_token_id", as_json(F.col("n_chars") + 1)),
         pair("tokenizer.ggml.add_bos_token", as_json(F.col("lang") == "en")),
-        pair("tokenizer.ggml.tokens", F.to_json(F.split("text", _WORDS, -1))),
+        F.when(F.col("lang") == "en", pair("tokenizer.ggml.padding_token_id", as_json(F.col("n_chars") + 2))),
+        F.when(F.col("lang") != "de", pair("tokenizer.ggml.unknown_token_id", as_json(F.col("n_chars") + 3))),
+        pair("tokenizer.ggml.token_type", F.to_json(sizes)),
+        F.when(F.col("lang") != "fr", pair("tokenizer.ggml.scores", F.to_json(halves))),
+        pair("tokenizer.ggml.tokens", F.to_json(words)),
         pair("tokenizer.ggml.merges", F.to_json(F.split("text", _SENTENCES, -1))),
         pair("general.name", as_json(F.col("source"))),
     )
-    kv = texts.select("doc_id", F.explode(pairs).alias("p")).select(
+    kv = texts.select("doc_id", F.explode(F.array_compact(pairs)).alias("p")).select(
         "doc_id", "p.key", F.parse_json("p.json").alias("value")
     )
     picked = select_metadata(kv, _MODEL)
@@ -198,6 +209,8 @@ def metadata(spark: SparkSession, folder: str) -> DataFrame:
         "add_bos",
         F.size("tokens").cast("bigint").alias("n_tokens"),
         F.size("merges").cast("bigint").alias("n_merges"),
+        F.aggregate("token_types", F.lit(0).cast("bigint"), lambda s, t: s + t).alias("sum_types"),
+        F.aggregate("scores", F.lit(0.0), lambda s, t: s + t).alias("sum_scores"),
     )
 
 

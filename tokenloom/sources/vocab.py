@@ -139,12 +139,15 @@ def select_metadata(kv: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """
     known = {**SCALAR_KEYS, **ARRAY_KEYS}
     picked = kv.where(F.col("key").isin(list(known)))
-    columns = []
-    for key, (name, kind) in known.items():
-        typed = F.try_variant_get("value", "$", kind)
-        column = F.max(F.when(F.col("key") == key, typed))
-        columns.append((F.coalesce(column, F.lit(False)) if name == "add_bos" else column).alias(name))
-    return picked.groupBy(*by).agg(*columns)
+    models = picked.groupBy(*by).agg(F.collect_list(F.struct("key", "value")).alias("entries"))
+
+    def greatest(key: str, kind: str) -> Column:
+        own = F.filter("entries", lambda e: e["key"] == key)
+        return F.array_max(F.transform(own, lambda e: F.try_variant_get(e["value"], "$", kind)))
+
+    columns = {name: greatest(key, kind) for key, (name, kind) in known.items()}
+    columns["add_bos"] = F.coalesce(columns["add_bos"], F.lit(False))
+    return models.select(*by, *[column.alias(name) for name, column in columns.items()])
 
 
 def parse_tokenizer_json(files: DataFrame, by: Sequence[str] = (), body: str = "value") -> DataFrame:
