@@ -1,7 +1,21 @@
 """The queries of this subpackage by name, with SQL where it can express them."""
 
 from tokenloom.catalog.base import Entry
-from tokenloom.llm import attribution, codec, fingerprints, lines, near, packing, pii, quality, secrets, urls
+from tokenloom.llm import (
+    attribution,
+    centroids,
+    codec,
+    fingerprints,
+    lines,
+    mixing,
+    near,
+    packing,
+    pii,
+    quality,
+    quantizer,
+    secrets,
+    urls,
+)
 
 ENTRIES: dict[str, Entry] = {
     "op1_url_filters": Entry("URL filters", urls.judged_pages),
@@ -14,4 +28,7 @@ ENTRIES: dict[str, Entry] = {
     "op8_pii": Entry("personal data", pii.personal_data_in_documents),
     "op9_near_dedup": Entry("near-duplicates", near.near_duplicate_documents),
     "op10_quality_rules": Entry("quality rules", quality.judged_documents),
+    "op11_source_mixing": Entry("mixing sources", mixing.mixed_documents),
+    "op12_centroid_clustering": Entry("clustering", centroids.clustered_vectors, centroids.SQL),
+    "op13_vector_codes": Entry("vector codes", quantizer.compressed_vectors, quantizer.SQL),
 }
