@@ -49,15 +49,17 @@ SALT = 1
 MARGIN = 1e-9
 
 
-def first_centroids(vectors: DataFrame, clusters: int, salt: int) -> np.ndarray:
+def first_centroids(vectors: DataFrame, clusters: int, salt: int, components: int) -> np.ndarray:
     """The vectors with the smallest hashes of ``salt:id``, at most ``clusters`` rows."""
     name = F.sha2(F.concat(F.lit(f"{salt}:"), F.col("vec_id").cast("string")), 256)
     rows = vectors.select(name.alias("name"), "v").orderBy(F.col("name").asc_nulls_last(), "v").limit(clusters).collect()
-    return np.array([r["v"] for r in rows], np.int64).reshape(len(rows), -1)
+    return np.array([r["v"] for r in rows], np.int64).reshape(len(rows), components)
 
 
 def nearest(points: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Number of the nearest centre (the smaller of several), its squared distance, and the distance of the next one."""
+    if not len(points):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
     found = squared_distances(points, centres)
     index = np.arange(len(points))
     own = found.argmin(1)
@@ -156,7 +158,7 @@ def clustered(
 ) -> tuple[DataFrame, np.ndarray, np.ndarray]:
     """The stored assignment (vec_id, v, cluster, distance, bound), the centroids, and each cluster's summed distance."""
     vectors = integer_vectors(table, scale, key, vector, components)
-    centres = first_centroids(vectors, clusters, salt).reshape(-1, components)
+    centres = first_centroids(vectors, clusters, salt, components)
     state = written(first_assignment(vectors, centres), "assigned")
     for _ in range(rounds):
         sums, counts, radii, _ = summed(state, len(centres), components)

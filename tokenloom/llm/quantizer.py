@@ -32,7 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, DoubleType, LongType, StringType, StructField, StructType
 
 from tokenloom.llm.arrow import quoted
 from tokenloom.llm.lookup import find
@@ -296,7 +296,7 @@ def decoded(codes: DataFrame, books: np.ndarray, scale: int = SCALE) -> DataFram
             offsets = pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * (parts * width))
             yield pa.RecordBatch.from_arrays([batch.column("vec_id"), pa.ListArray.from_arrays(offsets, pa.array(flat))], names=["vec_id", "vector"])
 
-    schema = StructType([codes.schema["vec_id"]]).add("vector", "array<double>")
+    schema = StructType([codes.schema["vec_id"], StructField("vector", ArrayType(DoubleType()))])
     return codes.select("vec_id", "code").mapInArrow(run, schema)
 
 
