@@ -13,11 +13,15 @@ Two documents are linked when 100 * intersection >= 75 * union, confirmed on ful
      are in long lists. Each of these is paired with the list's most central document.
 3. The bottom-k of the union of two sketches estimates their similarity; pairs
    clearly below the threshold go.
-4. The best candidate of each document is confirmed on full sets, which joins most
-   large groups at once. Then every candidate across two groups is confirmed. For the
-   documents of the long lists an exact prefix filter over their full sets gives the
-   candidates across groups. So no pair is cut off by a cap: what is never compared is
-   already in one group, or cannot be similar.
+4. Documents of the long lists form families around a central document, the pivot. One
+   exact comparison with its pivot joins every member that is similar to it. The best
+   candidate of every document is confirmed on full sets too, which joins most large
+   groups at once. Then every candidate across two groups is confirmed.
+5. What is left in long lists lies across groups. Within a family, sets differ as much as
+   their differences from the pivot do, so a prefix filter over these differences, which
+   hold what is rare in the family, gives the candidates. Across families a prefix
+   filter over full sets does. Both are exact: no pair is cut off by a cap, and what is
+   never compared is already in one group, or cannot be similar.
 
 Nulls and odd input: a null text is empty; a text without words has an empty set and
 is linked with nothing. A row with a null id is linked with nothing, has a null
@@ -48,6 +52,7 @@ HOT = 16
 SHARED = 0.4
 LEADER_LISTS = 3
 STEP = 1.05
+MEMBERS = 500  # of a family, for each copy of its pivot's set
 
 SKETCH = "n_shingles long, s1 long, s2 long, sketch array<long>"
 
@@ -123,7 +128,7 @@ def _across(pairs: DataFrame, groups: DataFrame) -> DataFrame:
 
 
 def candidates(reps: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Candidate pairs, stored, and the long-list values (``hot``) of documents that need them."""
+    """Candidate pairs of short lists; and rep, family (stored) of the documents that may meet in long lists only."""
     values = reps.select("rep", "n_shingles", F.posexplode("sketch").alias("place", "value"))
     shared = values.groupBy("value").agg(F.count("*").alias("df")).where("df > 1")
     entries = values.join(shared, "value")
@@ -144,30 +149,88 @@ def candidates(reps: DataFrame) -> tuple[DataFrame, DataFrame]:
         .select("a", "b")
     )
 
-    hot = listed.where(F.size("hot") >= _least_hot()).select("rep", "n_shingles", "centre", F.array_sort("hot").alias("hot"))
+    hot = listed.where(F.size("hot") >= _least_hot()).select("rep", "centre", F.array_sort("hot").alias("hot"))
     first = hot.select("rep", "centre", F.explode(F.slice("hot", 1, LEADER_LISTS)).alias("value"))
-    leaders = first.groupBy("value").agg(F.max_by("rep", F.struct("centre", -F.col("rep"))).alias("leader"))
-    led = first.join(leaders, "value").where("rep <> leader")
-    led = led.select(F.least("rep", "leader").alias("a"), F.greatest("rep", "leader").alias("b"))
-    return pairs.union(led).distinct(), hot
+    order = F.struct("centre", -F.col("rep"))
+    leaders = first.groupBy("value").agg(F.count("*").alias("n"), F.max(order).alias("leader"))
+    led = find(first, written(leaders, "leaders"), ["value"], "n", "leader")
+    families = led.groupBy("rep").agg((-F.max("leader")["col2"]).alias("family"))
+    return pairs.distinct(), written(families, "families")
 
 
-def _rarest_first(hot: DataFrame, sets: DataFrame, groups: DataFrame) -> DataFrame:
-    """rep, n, group, value, pos: the shingles of the documents in ``hot``, rarest among these first.
+def _differences(families: DataFrame, sets: DataFrame) -> DataFrame:
+    """rep, n, family, n_pivot, diff (what only one of a set and its pivot's set holds). The result is stored.
+
+    A pivot's set is copied for every ``MEMBERS`` members, so a large family is dealt out.
+    """
+    sizes = families.groupBy("family").agg(F.ceil(F.count("*") / MEMBERS).cast("int").alias("copies"))
+    pivots = sizes.join(sets.select(F.col("rep").alias("family"), F.col("set").alias("pivot")), "family")
+    pivots = pivots.select("family", "pivot", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy"))
+    heavy = find(families, written(sizes, "family-sizes"), ["family"], "copies", "copies")
+    members = heavy.join(sets, "rep").withColumn("copy", F.pmod(F.xxhash64("rep"), F.col("copies")).cast("int"))
+    joined = members.join(pivots, ["family", "copy"])
+    diff = F.concat(F.array_except("set", "pivot"), F.array_except("pivot", "set"))
+    return written(joined.select("rep", F.size("set").alias("n"), "family", F.size("pivot").alias("n_pivot"), diff.alias("diff")), "differences")
+
+
+def _within_families(differences: DataFrame, groups: DataFrame) -> DataFrame:
+    """Candidate pairs of one family, of which at least one is not in its pivot's group.
+
+    With X and Y the differences of x and y from the pivot b, x and y are similar when
+    |X| + |Y| - 2 |X & Y| <= (|x| + |y|) / 7. A seeker x is not similar to b, so
+    |X| > (|x| + |b|) / 7, and at least (|Y| + (|b| - |y|) / 7) / 2 of Y must be in X: the
+    first shared one, rarest first, stands in Y's other half. Where this asks for nothing,
+    7 |Y| <= |y| - |b|, the pair need not share a difference; whoever has room for one of
+    these has it for the one with most, so each seeker is paired with that one.
+    """
+    groups = written(groups, "family-groups")
+    placed = _in_groups(differences, groups, "rep", "group")
+    placed = written(_in_groups(placed, groups, "family", "home").withColumn("m", F.size("diff")), "placed")
+    elements = placed.select("rep", "n", "n_pivot", "family", "group", "home", "m", F.explode("diff").alias("value"))
+    shared = written(elements.groupBy("family", "value").agg(F.count("*").alias("df")).where("df > 1"), "shared-differences")
+    found = find(elements, shared.withColumn("weight", F.col("df")), ["family", "value"], "weight", "df")
+    rarity = Window.partitionBy("rep").orderBy(F.coalesce("df", F.lit(1)), "value")
+    entries = written(found.withColumn("pos", F.row_number().over(rarity)).where("df IS NOT NULL"), "ordered-differences")
+
+    seekers = entries.where("group <> home AND 3 * (pos - 1) <= n").select("rep", "n", "m", "pos", "family", "group", "value")
+    listed = entries.where("14 * (pos - 1) <= 7 * m + n - n_pivot").select(
+        "family",
+        "value",
+        F.col("rep").alias("rep_l"),
+        F.col("n").alias("n_l"),
+        F.col("m").alias("m_l"),
+        F.col("pos").alias("pos_l"),
+        F.col("group").alias("group_l"),
+    )
+    # No more differences are shared from the first shared one on than what is left of either.
+    apart = "group <> group_l AND 7 * (m + m_l - 2 * (1 + least(m - pos, m_l - pos_l))) <= n + n_l"
+    meeting = seekers.join(listed, ["family", "value"]).where(apart).select("rep", "rep_l")
+
+    room = F.max(F.struct((F.col("n") - 7 * F.col("m")).alias("room"), (-F.col("rep")).alias("rep"), "group"))
+    roomy = placed.groupBy("family").agg(room.alias("most"))
+    roomy = written(roomy.withColumn("members", F.lit(1)), "roomy")
+    alone = find(placed.where("group <> home").select("rep", "n", "m", "family", "group"), roomy, ["family"], "members", "most")
+    alone = alone.where("group <> most.group AND 7 * m - n <= most.room").select("rep", (-F.col("most.rep")).alias("rep_l"))
+    both = meeting.union(alone)
+    return both.select(F.least("rep", "rep_l").alias("a"), F.greatest("rep", "rep_l").alias("b")).distinct()
+
+
+def _rarest_first(families: DataFrame, sets: DataFrame, groups: DataFrame) -> DataFrame:
+    """rep, n, group, family, value, pos: the shingles of the documents in ``families``, rarest among these first.
 
     ``pos`` counts from 1. Shingles of one document alone are counted and left out.
     """
-    full = hot.select("rep").join(sets, "rep")
-    full = _in_groups(full.select("rep", F.size("set").alias("n"), "set"), groups, "rep", "group")
-    entries = full.select("rep", "n", "group", F.explode("set").alias("value"))
+    full = families.join(sets, "rep")
+    full = _in_groups(full.select("rep", "family", F.size("set").alias("n"), "set"), groups, "rep", "group")
+    entries = full.select("rep", "n", "group", "family", F.explode("set").alias("value"))
     shared = written(entries.groupBy("value").agg(F.count("*").alias("df")).where("df > 1"), "shared-shingles")
     found = find(entries, shared.withColumn("weight", F.col("df")), ["value"], "weight", "df")
     rarity = Window.partitionBy("rep").orderBy(F.coalesce("df", F.lit(1)), "value")
     return found.withColumn("pos", F.row_number().over(rarity)).where("df IS NOT NULL")
 
 
-def _left_in_long_lists(hot: DataFrame, sets: DataFrame, groups: DataFrame) -> DataFrame:
-    """Candidate pairs of different groups among the documents that may meet in long lists only.
+def _across_families(families: DataFrame, sets: DataFrame, groups: DataFrame) -> DataFrame:
+    """Candidate pairs of different families and groups among the documents that may meet in long lists only.
 
     Exact prefix filter over full sets in order of rarity: with s <= l the sizes of a
     pair, at least 3/7 (s + l) shingles are shared, so the first shared one stands no
@@ -176,25 +239,24 @@ def _left_in_long_lists(hot: DataFrame, sets: DataFrame, groups: DataFrame) -> D
     only for the sizes that its position leaves open. A document far from all others
     begins with shingles of its own and looks up little or nothing.
 
-    Per key only documents outside its largest group look for partners: keys within one
-    group make no pair, and the members of a large group are not compared.
+    Per key only documents outside its largest family look for partners: keys within one
+    family make no pair, and the members of a large family are not compared here.
     """
-    entries = written(_rarest_first(hot, sets, groups), "rarest-first")
+    entries = written(_rarest_first(families, sets, groups), "rarest-first")
     n, pos = F.col("n"), F.col("pos")
 
     def step(size: Column) -> Column:
         return F.floor(F.log(size.cast("double")) / math.log(STEP)).cast("int")
 
-    small = entries.where(pos <= n - F.ceil(6 * n / 7) + 1).select("rep", "n", "pos", "group", "value", step(n).alias("step"))
+    carried = ["rep", "n", "pos", "group", "family", "value"]
+    small = entries.where(pos <= n - F.ceil(6 * n / 7) + 1).select(*carried, step(n).alias("step"))
     most = F.least(n, F.floor(7 * (n + 1 - pos) / 3 - n).cast("int"))
     least = F.ceil(n * SIMILAR / 100).cast("int")
-    large = entries.where(most >= least).select(
-        "rep", "n", "pos", "group", "value", F.explode(F.sequence(step(least), step(most))).alias("step")
-    )
+    large = entries.where(most >= least).select(*carried, F.explode(F.sequence(step(least), step(most))).alias("step"))
     keys = ["value", "step"]
-    sizes = small.select(*keys, "group").union(large.select(*keys, "group")).groupBy(*keys, "group").count()
-    mixed = sizes.groupBy(*keys).agg(F.count("*").alias("groups"), F.max_by("group", F.struct("count", "group")).alias("main"))
-    mixed = written(mixed.where("groups > 1").select(*keys, "main"), "mixed-keys")
+    sizes = small.select(*keys, "family").union(large.select(*keys, "family")).groupBy(*keys, "family").count()
+    mixed = sizes.groupBy(*keys).agg(F.count("*").alias("families"), F.max_by("family", F.struct("count", "family")).alias("main"))
+    mixed = written(mixed.where("families > 1").select(*keys, "main"), "mixed-keys")
     small = small.join(mixed, keys)
     large = large.join(mixed.withColumnRenamed("main", "main_l"), keys).select(
         *keys,
@@ -202,13 +264,14 @@ def _left_in_long_lists(hot: DataFrame, sets: DataFrame, groups: DataFrame) -> D
         F.col("n").alias("n_l"),
         F.col("pos").alias("pos_l"),
         F.col("group").alias("group_l"),
+        F.col("family").alias("family_l"),
         "main_l",
     )
     # No more is shared from a pair's first shared shingle on than what is left of either document.
-    apart = "group <> group_l AND n <= n_l AND 7 * (1 + least(n - pos, n_l - pos_l)) >= 3 * (n + n_l)"
+    apart = "family <> family_l AND group <> group_l AND n <= n_l AND 7 * (1 + least(n - pos, n_l - pos_l)) >= 3 * (n + n_l)"
     pairs = [
-        small.where("group <> main").join(large, keys).where(apart),
-        small.where("group = main").join(large.where("group_l <> main_l"), keys).where(apart),
+        small.where("family <> main").join(large, keys).where(apart),
+        small.where("family = main").join(large.where("family_l <> main_l"), keys).where(apart),
     ]
     ends = [p.select(F.least("rep", "rep_l").alias("a"), F.greatest("rep", "rep_l").alias("b")) for p in pairs]
     return ends[0].union(ends[1]).distinct()
@@ -224,21 +287,25 @@ def full_sets(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFr
 
 def near_links(docs: DataFrame, reps: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Components (node, component) over the documents that stand for their class."""
-    pairs, hot = candidates(reps)
+    pairs, families = candidates(reps)
     estimated = written(_estimated(pairs, reps), "candidates")
-    ends = estimated.select(F.col("a").alias("rep")).union(estimated.select(F.col("b").alias("rep"))).union(hot.select("rep"))
+    ends = estimated.select(F.col("a").alias("rep")).union(estimated.select(F.col("b").alias("rep"))).union(families.select("rep"))
     sets = written(full_sets(docs, written(ends.distinct(), "ends"), key, text), "sets")
 
+    differences = _differences(families, sets)
+    stars = differences.where("rep <> family AND 7 * size(diff) <= n + n_pivot")
+    stars = stars.select(F.least("rep", "family").alias("a"), F.greatest("rep", "family").alias("b"))
     sides = estimated.select(F.col("a").alias("node"), "a", "b", "estimate").union(
         estimated.select(F.col("b").alias("node"), "a", "b", "estimate")
     )
     best = sides.groupBy("node").agg(F.max(F.struct("estimate", -F.col("a"), -F.col("b"))).alias("best"))
     first = best.select((-F.col("best.col2")).alias("a"), (-F.col("best.col3")).alias("b")).distinct()
-    links = written(confirmed(first, sets), "confirmed")
+    links = written(confirmed(first, sets).union(stars), "confirmed")
     groups = written(components(links), "groups")
 
     rest = _across(estimated, groups).join(first, ["a", "b"], "left_anti")
-    rest = rest.union(_estimated(_left_in_long_lists(hot, sets, groups), reps).select("a", "b")).distinct()
+    within, across = _within_families(differences, groups), _across_families(families, sets, groups)
+    rest = rest.union(_estimated(within.union(across), reps).select("a", "b")).distinct()
     more = written(confirmed(rest, sets), "confirmed")
     return components(links.union(more))
 
