@@ -121,6 +121,34 @@ def test_large_groups_of_near_copies(spark, monkeypatch, hot):
     assert near_result(spark.createDataFrame(rows, "doc_id long, text string").repartition(7)) == expected_near(rows)
 
 
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_families_whose_members_lie_around_the_threshold(spark, monkeypatch, seed):
+    """Words are changed, dropped, added or taken from few others, so that members are from 60 to 90 % alike."""
+    monkeypatch.setattr(near, "HOT", 3)
+    monkeypatch.setattr(near, "MEMBERS", 7)
+    rng = random.Random(seed)
+    rows = []
+    for family, size in enumerate((60, 60, 150)):
+        base = [f"f{family if seed > 1 else min(family, 1)}w{n}" for n in range(size)]
+        for _ in range(60):
+            own = list(base[: rng.choice([size, size, size - size // 8])])
+            for _ in range(rng.randint(0, size // 20)):
+                at = rng.randrange(len(own))
+                match rng.randrange(4):
+                    case 0:
+                        own[at] = rng.choice(["x", "y"])
+                    case 1:
+                        own[at] = f"n{rng.random()}"
+                    case 2:
+                        del own[at]
+                    case 3:
+                        own.insert(at, rng.choice(["x", "y", f"n{rng.random()}"]))
+            own += [f"t{k}" for k in range(rng.choice([0, 0, 0, size // 6]))]
+            rows.append((len(rows) + 1, " ".join(own)))
+    rng.shuffle(rows)
+    assert near_result(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)) == expected_near(rows)
+
+
 def test_near_duplicates_with_repeated_and_null_ids(spark):
     text = " ".join(f"w{n}" for n in range(50))
     rows = [(4, text), (4, text), (9, text), (None, text), (None, None), (5, None), (6, "")]
@@ -161,6 +189,16 @@ def test_packing_places_every_token(spark, nothing, documents):
     assert packing.pack(packing.written(packing.cut_pieces(nothing, PATH), "pieces")).count() == 0
 
 
+def test_packing_of_very_long_white_space(spark):
+    rows = [(1, "a" + " " * 2_000_000 + "b"), (2, "c")]
+    pieces = packing.written(packing.cut_pieces(spark.createDataFrame(rows, "doc_id long, text string"), PATH, with_ids=False), "pieces")
+    want = [len(Tokenizer.from_file(PATH).encode(t, add_special_tokens=False).ids) + 1 for _, t in rows]
+    got = Counter()
+    for r in packing.pack(pieces).collect():
+        got[r.id] += r.length
+    assert [got[1], got[2]] == want
+
+
 def test_piece_bounds():
     assert packing.piece_bounds(5, 4) == [(0, 1), (1, 4)]
     assert packing.piece_bounds(8, 4) == [(0, 4), (4, 4)]

@@ -66,6 +66,25 @@ def test_encoding_equals_the_library(library):
     assert [fast.encode(t, allowed_special="all") for t in texts] == want
 
 
+HUGE = {
+    "spaces": "a" + " " * 2_000_000 + "b",
+    "new lines": "\n" * 2_000_000,
+    "one letter": "a" * 2_000_000,
+    "letters": "".join(random.Random(2).choices("abcdefghijklmnop", k=500_000)),
+}
+
+
+@pytest.mark.parametrize("kind", HUGE)
+def test_very_long_texts(library, kind):
+    text = HUGE[kind]
+    want = library.encode(text, add_special_tokens=False).ids
+    assert bpe.encode(PATH, text) == want
+    ids, counts = codec.codec(PATH).encode(["x", text, "y z"])
+    assert ids[counts[0] : counts[0] + counts[1]].tolist() == want
+    starts, ends = attribution.token_spans(text, PATH, attribution._token_sizes(PATH))
+    assert len(starts) == len(want) and ends[-1] == len(text)
+
+
 def test_decoding_cut_and_unknown_ids(library):
     coder = codec.codec(PATH)
     cut = library.encode("日", add_special_tokens=False).ids[:1]
@@ -102,10 +121,10 @@ def test_unknown_vocabulary_features_are_refused(tmp_path):
 
 @pytest.mark.parametrize("rule", attribution.RULES)
 def test_allocation(rule):
-    encoding, sizes = bpe.fast_encoding(PATH), attribution._token_sizes(PATH)
+    sizes = attribution._token_sizes(PATH)
     rng = random.Random(7)
     for text in noise(2, [*"ab \n\n\né日👍🏽the'", "\n\n\n\n", "the "], 400, 30):
-        tokens = attribution.token_spans(text, encoding, sizes)
+        tokens = attribution.token_spans(text, PATH, sizes)
         cuts = sorted(tuple(sorted((rng.randint(0, len(text)), rng.randint(0, len(text))))) for _ in range(4))
         for sections in (attribution.line_sections(text), (np.array([a for a, _ in cuts]), np.array([b for _, b in cuts]))):
             counts, crossing = attribution.allocate(tokens, sections, rule)

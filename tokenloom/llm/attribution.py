@@ -43,9 +43,9 @@ def line_sections(text: str) -> Spans:
     return np.concatenate([[0], ends[:-1]]), ends
 
 
-def token_spans(text: str, encoding, sizes: np.ndarray) -> Spans:
+def token_spans(text: str, path: str, sizes: np.ndarray) -> Spans:
     """First character and end of every token, in code points."""
-    ids = np.array(encoding.encode(text, allowed_special="all"), np.int64)
+    ids = np.array(bpe.encode(path, text), np.int64)
     ends = np.cumsum(sizes[ids])
     starts = ends - sizes[ids]
     raw = text.encode("utf-8")
@@ -99,7 +99,7 @@ def attribute_tokens(
     by_column = isinstance(sections, str)
 
     def run(part):
-        encoding, sizes = bpe.fast_encoding(path), _token_sizes(path)
+        sizes = _token_sizes(path)
         given = part.column(sections).to_pylist() if by_column else [None] * part.num_rows
         found = []
         for text_value, own in zip(part.column(text).to_pylist(), given, strict=True):
@@ -109,7 +109,7 @@ def attribute_tokens(
                 spans = np.clip(pairs[:, 0], 0, len(value)), np.clip(pairs[:, 1], 0, len(value))
             else:
                 spans = sections(value)
-            found.append((*spans, *allocate(token_spans(value, encoding, sizes), spans, rule)))
+            found.append((*spans, *allocate(token_spans(value, path, sizes), spans, rule)))
         counts = [len(f[0]) for f in found]
         offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
         number = np.arange(int(offsets[-1])) - np.repeat(offsets[:-1], counts)

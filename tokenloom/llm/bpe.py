@@ -6,11 +6,13 @@ Vocabulary files are named by path and opened on each worker, once per process.
 from __future__ import annotations
 
 import json
+import re
 from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
 
+# Fixed value: the published pattern of this vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
@@ -69,6 +71,29 @@ def read_byte_bpe(path: str) -> ByteBpe:
     return ByteBpe(tuple(tokens), np.array([ids[bytes([b])] for b in range(256)], np.int64), merges, special)
 
 
+# The fast library gives up on white space of several hundred thousand characters.
+LONG_RUN = 50_000
+_LONG_RUN = re.compile(rf"\s{{{LONG_RUN}}}")
+
+
+def encode(path: str, text: str) -> list[int]:
+    """Ids of a text, as the tokenizers library gives them."""
+    if len(text) >= LONG_RUN and _LONG_RUN.search(text):
+        return library(path).encode(text, add_special_tokens=False).ids
+    return fast_encoding(path).encode(text, allowed_special="all")
+
+
+@lru_cache(maxsize=4)
+def library(path: str):
+    from tokenizers import Tokenizer
+
+    read_byte_bpe(path)  # refuses files that ask for more
+    found = Tokenizer.from_file(path)
+    found.no_truncation()
+    found.no_padding()
+    return found
+
+
 @lru_cache(maxsize=4)
 def fast_encoding(path: str):
     """The same vocabulary in a library that encodes several times as fast and gives the same ids.

@@ -10,8 +10,11 @@ pair, every occurrence from left to right. Words without a pair left drop out.
 The pieces at hand are bounded in number and bytes, so memory does not grow with the
 corpus; a piece that was dropped is merged again.
 
-Nulls and odd input: a null text is empty and has no ids. A text of one huge word is
-merged like any other, one round per distinct merge step. Unknown ids decode to
+A word above ``LONG_WORD`` symbols would need a round for nearly every one of its merges, so
+it is merged by a heap of its pairs instead, with the same result.
+
+Nulls and odd input: a null text is empty and has no ids. A text may be one huge word or
+one run of white space. Unknown ids decode to
 nothing; bytes that are no UTF-8 decode to U+FFFD.
 """
 
@@ -20,7 +23,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Sequence
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -29,9 +32,11 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from tokenloom.llm import bpe
 from tokenloom.llm.arrow import map_texts, quoted
+from tokenloom.operators.merging import rank_merger
 
 AT_HAND = 200_000
 LONGEST_AT_HAND = 64
+LONG_WORD = 2048
 
 # Unicode's White_Space characters.
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -58,6 +63,11 @@ class PairTable:
         known = self.keys[at] == wanted
         return np.where(known, self.ranks[at], none), self.merged[at]
 
+    @cached_property
+    def by_pair(self) -> dict[tuple[int, int], tuple[int, int]]:
+        pairs = zip((self.keys >> 32).tolist(), (self.keys & 0xFFFFFFFF).tolist(), strict=True)
+        return dict(zip(pairs, zip(self.ranks.tolist(), self.merged.tolist(), strict=True), strict=True))
+
 
 def merge_words(symbols: np.ndarray, lengths: np.ndarray, table: PairTable) -> tuple[np.ndarray, np.ndarray]:
     """Ids of the words whose byte ids lie one after the other in ``symbols``, and their numbers.
@@ -67,6 +77,15 @@ def merge_words(symbols: np.ndarray, lengths: np.ndarray, table: PairTable) -> t
     none = len(table.ranks)
     done: list[tuple[np.ndarray, np.ndarray]] = []  # word and id of every finished symbol
     word = np.repeat(np.arange(len(lengths)), lengths)
+    ends = np.cumsum(lengths)
+    huge = np.flatnonzero(lengths > LONG_WORD)
+    if len(huge):
+        merge = rank_merger()
+        for k in huge:
+            ids = np.array(merge(symbols[ends[k] - lengths[k] : ends[k]].tolist(), table.by_pair), np.int64)
+            done.append((np.full(len(ids), k), ids))
+        rest = ~np.isin(word, huge)
+        symbols, word = symbols[rest], word[rest]
     while len(symbols):
         inner = word[:-1] == word[1:]
         rank = np.full(len(symbols), none)

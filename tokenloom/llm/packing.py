@@ -59,10 +59,9 @@ def cut_pieces(
     """id, piece, start, length, ids_crc32 and, if wanted, the ids of every piece."""
 
     def run(part):
-        encoding = bpe.fast_encoding(path)
         out = []
         for text in part.column("text").to_pylist():
-            ids = np.array([*encoding.encode(text or "", allowed_special="all"), end_id], "<u4")
+            ids = np.array([*bpe.encode(path, text or ""), end_id], "<u4")
             found = []
             for number, (start, length) in enumerate(piece_bounds(len(ids), longest)):
                 own = ids[start : start + length]
