@@ -9,11 +9,15 @@ import plain
 import pytest
 from pyspark.sql import functions as F
 
-from tokenloom.fixtures import END_OF_TEXT, MERGES_64, USER, spelled, vocabulary_64
+from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import ByteLevel
+
+from tokenloom.fixtures import END_OF_TEXT, MERGES_64, USER, large_file, spelled, vocabulary_64, vocabulary_of_file
 from tokenloom.functions.chunks import chunk_array
 from tokenloom.functions.codes import MAX_ID, char_of_id, id_char, id_of_char, ids_of_state
-from tokenloom.operators.dictionary import build_dictionary
-from tokenloom.operators.encode import encode_chunks, literal_sweep
+from tokenloom.operators.dictionary import build_dictionary, count_chunks
+from tokenloom.operators.encode import encode_chunks, literal_sweep, spans
+from tokenloom.operators.merging import rank_merger
 from tokenloom.operators.tokens import (
     detokenize,
     encode_inline,
@@ -42,6 +46,9 @@ GOLDENS = {
 ODD_TEXTS = ["\0 nul \0\0", "\U0010ffff end", "tab\tand\r\n", "ÿþ \x7f", "🙂🙂 the", "  ", "'S 'LL don'T", "the" * 700]
 
 
+ONE_CHUNK = r"[\s\S]+"
+
+
 def frame(spark, texts):
     return spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
 
@@ -127,6 +134,70 @@ def test_long_chunks_by_sweep(spark):
     assert ids_by_doc(tokenize(frame(spark, texts), vocab)) == plain_ids(texts)
 
 
+@pytest.mark.parametrize("in_order", [True, False])
+def test_very_long_chunks_of_a_large_vocabulary(spark, in_order):
+    """Random letters in one chunk; the time of both plans grows with n log n, so a megabyte takes seconds."""
+    library = Tokenizer.from_file(large_file())
+    vocab = vocabulary_of_file(spark, large_file(), ONE_CHUNK)
+    assert vocab.in_order and vocab.n_merges == 50_000
+    rng = random.Random(8)
+    texts = ["".join(rng.choices("etaoinshrdlu", k=n)) for n in (16_000, 1_000_000)] + ["", "é" * 700]
+    library.pre_tokenizer = ByteLevel(add_prefix_space=False, use_regex=False)
+    want = {i: library.encode(t, add_special_tokens=False).ids for i, t in enumerate(texts)}
+    assert ids_by_doc(tokenize(frame(spark, texts), dataclasses.replace(vocab, in_order=in_order))) == want
+
+
+def test_few_spans_are_looked_up(spark):
+    """Per byte of distinct chunks, under 50,000 merges."""
+    vocab = vocabulary_of_file(spark, large_file())
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    chunks = count_chunks(docs, vocab).select("chunk")
+    rows = chunks.select("chunk", vocab.start_state(F.col("chunk")).alias("part"))
+    rows = rows.withColumn("starts", F.greatest(F.char_length("part") - 1, F.lit(1)))
+    looked_up = spans(rows, vocab, ["chunk"]).count()
+    size = chunks.agg(F.sum(F.octet_length("chunk"))).first()[0]
+    assert looked_up / size < 2.5
+
+
+def test_long_tokens_reach_over_windows(spark):
+    rng = random.Random(9)
+    tokens, merges, made = [(n, c) for n, c in enumerate("ab")], [], "a"
+    while len(made) < 1200:
+        side = rng.choice("ab")
+        merges.append((len(merges), made, side))
+        made += side
+        tokens.append((len(tokens), made))
+    raw = spark.createDataFrame([(i, t, 1, None) for i, t in tokens], "id int, token string, source_type int, score float")
+    vocab = dataclasses.replace(build_vocabulary(raw, spark.createDataFrame(merges, "rank int, left string, right string"), ONE_CHUNK), literal_merges=None)
+    texts = ["bb" + made + "a" + made[:900] + made + "bab"]
+    ids, ranks = {t: i for i, t in tokens}, {(left, right): r for r, left, right in merges}
+    want = [ids[t] for t in rank_merger()(list(texts[0]), {p: (r, p[0] + p[1]) for p, r in ranks.items()})]
+    assert ids_by_doc(tokenize(frame(spark, texts), vocab)) == {0: want}
+
+
+def test_heap_merging_equals_plain_merging():
+    rng, merge = random.Random(4), rank_merger()
+    for _ in range(3000):
+        known, ranks = list("abc"), {}
+        for rank in rng.sample(range(20), rng.randint(1, 8)):
+            pair = rng.choice(known), rng.choice(known)
+            if pair not in ranks:
+                ranks[pair] = (rank, pair[0] + pair[1])
+                known.append(pair[0] + pair[1])
+        ids = rng.choices("abc", k=rng.randint(0, 14))
+        want = list(ids)
+        while pairs := [p for p in zip(want, want[1:]) if p in ranks]:
+            pair, out = min(pairs, key=lambda p: ranks[p][0]), []
+            while want:
+                if len(want) > 1 and (want[0], want[1]) == pair:
+                    out.append(ranks[pair][1])
+                    del want[:2]
+                else:
+                    out.append(want.pop(0))
+            want = out
+        assert merge(ids, ranks) == want
+
+
 def test_order_matters(spark):
     """Rank 0 joins ab and c, rank 1 makes ab: searching gives abc, one pass would not."""
     tokens = [(0, "a"), (1, "b"), (2, "c"), (3, "ab"), (4, "abc")]

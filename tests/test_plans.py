@@ -47,8 +47,8 @@ def test_inline_encoding_shuffles_nothing(spark):
     assert shuffles(tokens) == [] and "Python" not in plan(tokens)
 
 
-def test_candidates_stay_where_chunks_are(spark):
-    """One shuffle for the distinct chunks; looking up and regrouping add none."""
+def test_candidates_are_gathered_in_one_shuffle(spark):
+    """One shuffle for the distinct chunks, which are stored, and one to gather each one's candidates."""
     docs = spark.read.parquet(DOCUMENTS)
     chunks = count_chunks(docs, large(spark))
     assert len(shuffles(chunks)) == 1
@@ -60,8 +60,8 @@ def test_counts_by_language_shuffle_distinct_chunks_only(spark):
     docs = spark.read.parquet(DOCUMENTS)
     counts = token_counts(docs, large(spark), ["lang"], few_groups=True)
     assert len(shuffles(counts)) == 2
-    # The documents once, the merges and their heads.
-    assert plan(counts).count("Scan parquet") == 3 and plan(counts).count("documents.parquet") == 1
+    # The stored chunks, the merges, and their beginnings twice; the documents were read once to store the chunks.
+    assert plan(counts).count("Scan parquet") == 4 and plan(counts).count("documents.parquet") == 0
 
 
 def test_small_dictionary_shuffles_no_occurrence(spark):
@@ -99,8 +99,8 @@ def test_encoding_without_broadcasting_merges(spark):
     try:
         chunks = count_chunks(docs, vocab)
         encoded = candidate_sweep(chunks, vocab)
-        # Only the heads, which are at most 65,536 rows, are broadcast.
-        assert plan(encoded).count("BroadcastHashJoin") == 1 and "SortMergeJoin" in plan(encoded)
+        # Only the beginnings of tokens, whose number is checked, are broadcast.
+        assert plan(encoded).count("BroadcastHashJoin") == 2 and "SortMergeJoin" in plan(encoded)
         total = encoded.agg(F.sum(F.col("n") * F.char_length("state"))).first()[0]
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

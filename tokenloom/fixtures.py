@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tokenloom.operators.vocabulary import Vocabulary, build_vocabulary
+from tokenloom.functions.chunks import DEFAULT_PATTERN
+from tokenloom.operators.vocabulary import Vocabulary, build_vocabulary, load_vocabulary
 from tokenloom.sources.vocab import merges_from_arrays, typed_tokens_from_arrays
 
 # 64 merges in rank order, hex of the raw bytes, left+right.
@@ -25,6 +26,9 @@ MERGES_64 = """
 END_OF_TEXT = ("<|endoftext|>", 320)
 USER = ("<|user|>", 321)
 
+# A published byte-level BPE file with 50,000 merges.
+LARGE_FILE = "byte_bpe_50k.json"
+
 _vocabularies: dict[tuple, Vocabulary] = {}
 
 
@@ -68,3 +72,18 @@ def vocabulary_64(spark: SparkSession, n_merges: int = 64, added: tuple = ()) ->
             raw_tokens(spark, merges, added), raw_merges(spark, merges), added=added
         )
     return _vocabularies[key]
+
+
+def large_file() -> str:
+    """Where the file of 50,000 merges lies."""
+    import public_tokenizers
+
+    return public_tokenizers.path(LARGE_FILE)
+
+
+def vocabulary_of_file(spark: SparkSession, path: str, pattern: str = DEFAULT_PATTERN) -> Vocabulary:
+    """The vocabulary of a tokenizer.json file, loaded once per session."""
+    key = (spark.sparkContext.applicationId, path, pattern)
+    if key not in _vocabularies:
+        _vocabularies[key] = load_vocabulary(spark, path, pattern)
+    return _vocabularies[key]

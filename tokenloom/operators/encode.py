@@ -10,27 +10,34 @@ equivalent plans follow; which one is exact and cheapest depends on the merges.
   occurs in the chunk, and one pass in rank order applies them.
 * candidate search: any merges. The same join, but each step looks for the
   lowest candidate again.
+
+Both candidate plans are for chunks of ordinary length, and copy the token string at
+each step. A long chunk is merged by a heap of its pairs instead, in n log n.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tokenloom.functions.chunks import chunk_array
 from tokenloom.functions.codes import id_char
-from tokenloom.operators.vocabulary import Vocabulary
+from tokenloom.operators.merging import rank_merger
+from tokenloom.operators.vocabulary import HEAD, Vocabulary
+from tokenloom.plans.sizes import hinted
 from tokenloom.plans.workspace import written
 
-# Span starts handled by one row. A chunk of any length is cut into windows that
-# overlap by the longest token, so no row holds all spans of a long chunk.
+# Span starts handled by one row. A long chunk is cut into windows that overlap by
+# the longest token, so no row holds all spans of one.
 WINDOW = 512
-# The search looks at every candidate once per byte; longer chunks go to a
-# helper that finds pairs by position.
-SEARCH_BYTES = 512
+# The string plans look at every candidate at least once per chunk; longer chunks
+# go to a helper that finds pairs by position.
+SHORT_BYTES = 512
 # Stands between chunks; the coding of ids leaves it unused.
 APART = "\0"
 
@@ -70,40 +77,70 @@ def text_state(vocab: Vocabulary, text: Column) -> Column:
     return F.replace(state, F.lit(APART), F.lit(""))
 
 
+def spans(rows: DataFrame, vocab: Vocabulary, carried: Sequence[str], keep_all: bool = False) -> DataFrame:
+    """(carried.., l, span): spans of two or more bytes that may be merged tokens, and their lengths.
+
+    ``rows`` hold ``part``, a piece of a token string, and ``starts``, how many of its
+    positions a span may start at. At each position the next two characters tell whether
+    two, three or more make a token; if more may, the next ``HEAD`` characters tell the
+    lengths, and only spans of these are left. With ``keep_all`` each row has a span of
+    length 1, so that none is lost.
+    """
+    rows = rows.select(*carried, "part", F.explode(F.sequence(F.lit(1), "starts")).alias("i"))
+    heads = hinted(vocab.heads, vocab.n_heads, 32 * vocab.n_heads)
+    short = heads.select(F.col("head").alias("two"), F.col("lengths").alias("sizes"))
+    rows = rows.withColumn("two", F.substring("part", F.col("i"), F.lit(2)))
+    none = F.array().cast("array<int>")
+    sizes = F.coalesce("sizes", none)
+    if keep_all:
+        rows = rows.join(short, "two", "left").where("sizes is not null or i = 1")
+        sizes = F.concat(F.when(F.col("i") == 1, F.array(F.lit(1))).otherwise(none), sizes)
+    else:
+        rows = rows.join(short, "two")
+    rows = rows.select(*carried, "part", "i", F.explode(sizes).alias("l"))
+    rows = rows.withColumn("head", F.when(F.col("l") == HEAD, F.substring("part", F.col("i"), F.lit(HEAD))))
+    rows = rows.join(heads, "head", "left")
+    room = F.greatest(F.char_length("part") - F.col("i") + 1, F.lit(1))
+    lengths = F.when(F.col("l") < HEAD, F.array("l")).otherwise(F.coalesce("lengths", none))
+    rows = rows.select(*carried, "part", "i", F.explode(F.filter(lengths, lambda n: n <= room)).alias("l"))
+    return rows.select(*carried, "l", F.substring("part", F.col("i"), F.col("l")).alias("span"))
+
+
+def _hits(rows: DataFrame, vocab: Vocabulary, carried: Sequence[str], keep_all: bool) -> DataFrame:
+    """The merges whose token is a span of the rows, as (carried.., rank, pattern, result)."""
+    rows = spans(rows, vocab, carried, keep_all)
+    merges = vocab.hinted_merges("span", "rank", "pattern", "result")
+    if not keep_all:
+        return rows.join(merges, "span")
+    return rows.join(merges, "span", "left").where(F.col("rank").isNotNull() | (F.col("l") == 1))
+
+
+def _found() -> Column:
+    """Candidates in rank order. One counts once, however often the chunk repeats it."""
+    return F.sort_array(F.collect_set(F.when(F.col("rank").isNotNull(), F.struct("rank", "pattern", "result"))))
+
+
 def _candidates(chunks: DataFrame, vocab: Vocabulary) -> DataFrame:
-    """Chunks with ``found``, their possible merges as (rank, pattern, result).
+    """Short chunks with ``found``, their possible merges as (rank, pattern, result).
 
-    Spans of two or more bytes are looked up among the merged tokens, from each
-    position as far as any token with the same first two bytes reaches. One
-    span of one byte per chunk keeps chunks that have no candidate. Chunks
-    already hashed by ``chunk`` stay where they are.
+    Chunks already hashed by ``chunk`` stay where they are.
     """
     carried = chunks.columns
     state = vocab.start_state(F.col("chunk"))
-    windows = F.greatest(F.ceil((F.octet_length("chunk") - 1) / WINDOW), F.lit(1)).cast("int")
-    rows = chunks.select(*carried, F.explode(F.sequence(F.lit(0), windows - 1)).alias("w"))
-    part = F.substring(state, F.col("w") * WINDOW + 1, F.lit(WINDOW + vocab.max_span - 1))
-    rows = rows.select(*carried, "w", part.alias("part"))
-    starts = F.greatest(F.least(F.lit(WINDOW), F.char_length("part") - 1), F.lit(1))
-    rows = rows.select(*carried, "w", "part", F.explode(F.sequence(F.lit(1), starts)).alias("i"))
-    rows = rows.select(
-        *carried,
-        "part",
-        "i",
-        ((F.col("w") == 0) & (F.col("i") == 1)).alias("keeps"),
-        F.substring("part", F.col("i"), F.lit(2)).alias("head"),
-    )
-    # Two byte characters: at most 65,536 rows.
-    rows = rows.join(F.broadcast(vocab.heads), "head", "left").where("keeps or reach is not null")
-    shortest = F.when(F.col("keeps"), 1).otherwise(2)
-    longest = F.least(F.coalesce("reach", F.lit(1)), F.char_length("part") - F.col("i") + 1)
-    rows = rows.select(*carried, "part", "i", F.explode(F.sequence(shortest, longest)).alias("l"))
-    rows = rows.select(*carried, "l", F.substring("part", F.col("i"), F.col("l")).alias("span"))
-    merges = vocab.hinted_merges("span", "rank", "pattern", "result")
-    hits = rows.join(merges, "span", "left").where(F.col("rank").isNotNull() | (F.col("l") == 1))
-    # A candidate counts once, however often the chunk repeats it.
-    found = F.collect_set(F.when(F.col("rank").isNotNull(), F.struct("rank", "pattern", "result")))
-    return hits.groupBy(*carried).agg(F.sort_array(found).alias("found"))
+    rows = chunks.select(*carried, state.alias("part"))
+    rows = rows.withColumn("starts", F.greatest(F.char_length("part") - 1, F.lit(1)))
+    return _hits(rows, vocab, carried, keep_all=True).groupBy(*carried).agg(_found().alias("found"))
+
+
+def _by_length(chunks: DataFrame, vocab: Vocabulary, plan: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Short chunks by ``plan`` and long ones, if there are any, by a heap.
+
+    They are two readers, so the chunks are stored first and the text is read once.
+    """
+    stored = written(chunks, "chunks")
+    size = F.coalesce(F.octet_length("chunk"), F.lit(0))
+    short, long = plan(stored.where(size <= SHORT_BYTES)), stored.where(size > SHORT_BYTES)
+    return short if long.isEmpty() else short.unionByName(_long_chunks(long, vocab))
 
 
 def candidate_sweep(chunks: DataFrame, vocab: Vocabulary) -> DataFrame:
@@ -112,7 +149,7 @@ def candidate_sweep(chunks: DataFrame, vocab: Vocabulary) -> DataFrame:
         vocab.start_state(F.col("chunk")),
         lambda s, m: F.replace(s, m["pattern"], m["result"]),
     )
-    return _candidates(chunks, vocab).select(*chunks.columns, state.alias("state"))
+    return _by_length(chunks, vocab, lambda short: _candidates(short, vocab).select(*chunks.columns, state.alias("state")))
 
 
 def _search(state: Column, found: Column, size: Column) -> Column:
@@ -125,68 +162,46 @@ def _search(state: Column, found: Column, size: Column) -> Column:
 
 
 def candidate_search(chunks: DataFrame, vocab: Vocabulary) -> DataFrame:
-    """Stores the chunks first: short and long ones are two readers, and the text is read once."""
-    chunks = written(chunks, "chunks")
-    size = F.octet_length("chunk")
-    short = _candidates(chunks.where(F.coalesce(size, F.lit(0)) <= SEARCH_BYTES), vocab).select(
-        *chunks.columns,
-        _search(vocab.start_state(F.col("chunk")), F.col("found"), size).alias("state"),
+    state = _search(vocab.start_state(F.col("chunk")), F.col("found"), F.octet_length("chunk"))
+    return _by_length(chunks, vocab, lambda short: _candidates(short, vocab).select(*chunks.columns, state.alias("state")))
+
+
+def _pieces(numbered: DataFrame, vocab: Vocabulary) -> DataFrame:
+    """(number, part, starts): token strings in pieces of ``WINDOW``, each with as much of the next ones as a token may reach into."""
+    blocks = F.regexp_extract_all("start", F.lit(f"(?s).{{1,{WINDOW}}}"), F.lit(0))
+    over = vocab.max_span - 1
+    following = [F.slice(blocks, F.lit(k + 2), F.size(blocks)).alias(f"next{k}") for k in range(math.ceil(over / WINDOW))]
+    rows = numbered.select("number", F.explode(F.arrays_zip(blocks.alias("own"), *following)).alias("b"))
+    after = F.concat(*(F.coalesce(f"b.next{k}", F.lit("")) for k in range(len(following))))
+    return rows.select(
+        "number", F.concat("b.own", F.left(after, F.lit(over))).alias("part"), F.char_length("b.own").alias("starts")
     )
-    return short.unionByName(_long_chunks(chunks.where(size > SEARCH_BYTES), vocab))
 
 
-def rank_merger():
-    """Lowest-rank merging of one id list, for use inside tasks.
+def _long_chunks(chunks: DataFrame, vocab: Vocabulary) -> DataFrame:
+    """Chunks too long for string plans, each merged by a heap over its own candidates.
 
-    ``ranks`` maps a pair to (rank, merged id). The function is made here so
-    that it travels with the task: executors need not have this package.
+    Only the number of a chunk goes through the span lookup, not its text.
     """
-
-    def merge(ids: list, ranks: dict) -> list:
-        while len(ids) > 1:
-            known = [pair for pair in set(zip(ids, ids[1:])) if pair in ranks]
-            if not known:
-                break
-            pair = min(known, key=ranks.get)
-            merged, out, i = ranks[pair][1], [], 0
-            while i < len(ids):
-                if i + 1 < len(ids) and (ids[i], ids[i + 1]) == pair:
-                    out.append(merged)
-                    i += 2
-                else:
-                    out.append(ids[i])
-                    i += 1
-            ids = out
-        return ids
-
-    return merge
-
-
-def _long_chunks(chunks: DataFrame, vocab: Vocabulary) -> DataFrame:
-    """Chunks too long for the search, each beside its own candidates."""
-    found = _candidates(chunks, vocab).select(
-        *chunks.columns,
-        "found",
-        vocab.start_state(F.col("chunk")).alias("start"),
-    )
-    schema = f"{_ddl(chunks)}, state string"
+    numbered = chunks.select("*", vocab.start_state(F.col("chunk")).alias("start"), F.monotonically_increasing_id().alias("number"))
+    # Stored, so that a number always means the same chunk.
+    numbered = written(numbered, "long-chunks")
+    found = _hits(_pieces(numbered, vocab), vocab, ["number"], keep_all=False).groupBy("number").agg(_found().alias("found"))
+    columns = chunks.columns
+    schema = StructType([*(chunks.schema[c] for c in columns), StructField("state", StringType())])
     merge = rank_merger()
 
-    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             states = []
-            for start, merges in zip(batch["start"], batch["found"]):
-                ranks: dict[tuple[str, str], tuple[int, str]] = {}
-                for m in merges:
+            for start, merges in zip(batch.column("start").to_pylist(), batch.column("found").to_pylist()):
+                ranks = {}
+                for m in merges or ():
                     ranks.setdefault((m["pattern"][0], m["pattern"][1]), (m["rank"], m["result"]))
-                states.append("".join(merge(list(start), ranks)))
-            yield batch.drop(columns=["found", "start"]).assign(state=states)
-
-    return found.mapInPandas(encode, schema)
-
+                states.append("".join(merge(start, ranks)))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), pa.array(states, pa.string())], names=[*columns, "state"])
 
-def _ddl(df: DataFrame) -> str:
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+    return numbered.join(found, "number", "left").select(*columns, "start", "found").mapInArrow(encode, schema)
 
 
 def encode_chunks(chunks: DataFrame, vocab: Vocabulary) -> DataFrame:

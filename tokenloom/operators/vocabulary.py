@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tokenloom.functions.alphabet import byte_chars, hex_chars, token_hex
@@ -32,6 +32,8 @@ from tokenloom.sources.vocab import (
 LITERAL_MERGES = 256
 # Ids below this make a literal list of token bytes.
 LITERAL_TOKENS = 4096
+# How many characters of a long span are looked up before the whole span is.
+HEAD = 4
 # Added tokens become alternatives of one regular expression.
 MAX_ADDED_TOKENS = 10_000
 
@@ -44,8 +46,9 @@ class Vocabulary:
     ``merges``: (rank, left_id, right_id, merged_id, pattern, result, span);
     ``pattern`` and ``result`` are written one character per token and ``span``,
     the bytes of the merged token, one character per byte token.
-    ``heads``: (head, reach), the first two characters of every span and the
-    length of the longest span that starts so; at most 256 x 256 rows.
+    ``heads``: (head, lengths), ``n_heads`` rows: the first two characters of spans with
+    the lengths of what starts so, ``HEAD`` standing for it and all above; and the first
+    ``HEAD`` characters of longer spans with every length of what starts so.
     ``literal_merges`` and ``literal_tokens`` (hex by id, empty for an unused
     id) are there only for vocabularies small enough to be part of a plan.
     """
@@ -53,6 +56,7 @@ class Vocabulary:
     tokens: DataFrame
     merges: DataFrame
     heads: DataFrame
+    n_heads: int
     byte_ids: tuple[int, ...]
     unknown_bytes: tuple[int, ...]
     n_merges: int
@@ -120,9 +124,14 @@ def build_vocabulary(
         "in_order",
     )
     ready = written(spans, "spans")
-    heads = ready.groupBy(F.left("span", F.lit(2)).alias("head")).agg(
-        F.max(F.char_length("span")).alias("reach")
-    )
+    size = F.char_length("span")
+
+    def lengths(start: int, of: Column) -> DataFrame:
+        found = F.sort_array(F.collect_set(of)).alias("lengths")
+        return ready.where(size >= start).groupBy(F.left("span", F.lit(start)).alias("head")).agg(found)
+
+    heads = lengths(2, F.least(size, F.lit(HEAD))).union(lengths(HEAD, size))
+    heads = written(heads, "heads")
     facts = ready.agg(
         F.count("*").alias("n"),
         F.coalesce(F.sum(F.octet_length("span") + 32), F.lit(0)).alias("bytes"),
@@ -140,7 +149,8 @@ def build_vocabulary(
     return Vocabulary(
         tokens=table,
         merges=ready.drop("in_order"),
-        heads=written(heads, "heads"),
+        heads=heads,
+        n_heads=heads.count(),
         byte_ids=byte_ids,
         unknown_bytes=tuple(b for b in range(256) if b not in known),
         n_merges=facts["n"],
