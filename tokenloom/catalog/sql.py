@@ -82,3 +82,45 @@ def rows_of_ids(table: str, key: str, text: str = "text", n_merges: int = 64, na
       FROM {table} b LEFT JOIN (
         SELECT {key}, string_agg(ids, ' ' ORDER BY pos) AS ids, sum(n)::BIGINT AS n
         FROM {o} JOIN {e} USING (chunk) GROUP BY {key}) s ON {on})"""
+
+
+def encoded_by_file(path: str, source: str = "occ", name: str = "enc") -> str:
+    """CTEs (recursive) ending in (chunk, ids, n): each distinct chunk encoded by the merges of a tokenizer.json file.
+
+    A chunk is its tokens, spelled in the byte alphabet, each between two control
+    characters; every step replaces the lowest-ranked pair of neighbours in all chunks.
+    """
+    mark = "chr(1)"
+    return f"""{name}_file AS MATERIALIZED (
+      SELECT model FROM read_json({quoted(path)}, maximum_object_size=1000000000,
+        columns={{model: 'STRUCT(vocab MAP(VARCHAR, BIGINT), merges VARCHAR[][])'}})),
+    {name}_ids AS MATERIALIZED (
+      SELECT unnest(map_keys(model.vocab)) AS tok, unnest(map_values(model.vocab)) AS id FROM {name}_file),
+    {name}_merges AS MATERIALIZED (
+      SELECT rank, m[1] AS l, m[2] AS r
+      FROM (SELECT unnest(range(len(model.merges))) AS rank, unnest(model.merges) AS m FROM {name}_file)),
+    {name}_spelling AS MATERIALIZED (
+      SELECT map_from_entries(list({{k: printf('%02X', b), v: chr(c::INT)}})) AS spelled
+      FROM (SELECT b, CASE WHEN b BETWEEN 33 AND 126 OR b BETWEEN 161 AND 172 OR b >= 174 THEN b
+                           WHEN b <= 32 THEN 256 + b WHEN b <= 160 THEN 162 + b ELSE 323 END AS c
+            FROM (SELECT unnest(range(256)) AS b))),
+    {name}_steps AS (
+      SELECT chunk, {mark} || array_to_string(list_transform(regexp_extract_all(hex(encode(chunk)), '..'), lambda h: spelled[h]), {mark} || {mark}) || {mark} AS st,
+        false AS done
+      FROM (SELECT DISTINCT chunk FROM {source} WHERE chunk IS NOT NULL), {name}_spelling
+      UNION ALL
+      SELECT chunk, CASE WHEN best IS NULL THEN st ELSE
+          replace(st, {mark} || best.l || {mark} || {mark} || best.r || {mark}, {mark} || best.l || best.r || {mark}) END, best IS NULL
+      FROM (
+        SELECT chunk, st, arg_min({{l: m.l, r: m.r}}, m.rank) AS best
+        FROM (SELECT chunk, st, unnest(p[:-2]) AS l, unnest(p[2:]) AS r
+              FROM (SELECT chunk, st, string_split(st[2:-2], {mark} || {mark}) AS p FROM {name}_steps WHERE NOT done)) x
+        LEFT JOIN {name}_merges m ON x.l = m.l AND x.r = m.r
+        GROUP BY chunk, st)),
+    {name}_last AS MATERIALIZED (
+      SELECT chunk, arg_min(st, length(st)) AS st FROM {name}_steps GROUP BY chunk),
+    {name} AS MATERIALIZED (
+      SELECT chunk, string_agg(id::VARCHAR, ' ' ORDER BY i) AS ids, count(*)::BIGINT AS n
+      FROM (SELECT chunk, unnest(range(len(p))) AS i, unnest(p) AS tok
+            FROM (SELECT chunk, string_split(st[2:-2], {mark} || {mark}) AS p FROM {name}_last))
+      JOIN {name}_ids USING (tok) GROUP BY chunk)"""

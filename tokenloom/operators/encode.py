@@ -80,6 +80,8 @@ def text_state(vocab: Vocabulary, text: Column) -> Column:
 def spans(rows: DataFrame, vocab: Vocabulary, carried: Sequence[str], keep_all: bool = False) -> DataFrame:
     """(carried.., l, span): spans of two or more bytes that may be merged tokens, and their lengths.
 
+    A row's columns ``vocab.by`` (carried too) name its model where there are several.
+
     ``rows`` hold ``part``, a piece of a token string, and ``starts``, how many of its
     positions a span may start at. At each position the next two characters tell whether
     two, three or more make a token; if more may, the next ``HEAD`` characters tell the
@@ -88,18 +90,18 @@ def spans(rows: DataFrame, vocab: Vocabulary, carried: Sequence[str], keep_all:
     """
     rows = rows.select(*carried, "part", F.explode(F.sequence(F.lit(1), "starts")).alias("i"))
     heads = hinted(vocab.heads, vocab.n_heads, 32 * vocab.n_heads)
-    short = heads.select(F.col("head").alias("two"), F.col("lengths").alias("sizes"))
+    short = heads.select(*vocab.by, F.col("head").alias("two"), F.col("lengths").alias("sizes"))
     rows = rows.withColumn("two", F.substring("part", F.col("i"), F.lit(2)))
     none = F.array().cast("array<int>")
     sizes = F.coalesce("sizes", none)
     if keep_all:
-        rows = rows.join(short, "two", "left").where("sizes is not null or i = 1")
+        rows = rows.join(short, [*vocab.by, "two"], "left").where("sizes is not null or i = 1")
         sizes = F.concat(F.when(F.col("i") == 1, F.array(F.lit(1))).otherwise(none), sizes)
     else:
-        rows = rows.join(short, "two")
+        rows = rows.join(short, [*vocab.by, "two"])
     rows = rows.select(*carried, "part", "i", F.explode(sizes).alias("l"))
     rows = rows.withColumn("head", F.when(F.col("l") == HEAD, F.substring("part", F.col("i"), F.lit(HEAD))))
-    rows = rows.join(heads, "head", "left")
+    rows = rows.join(heads, [*vocab.by, "head"], "left")
     room = F.greatest(F.char_length("part") - F.col("i") + 1, F.lit(1))
     lengths = F.when(F.col("l") < HEAD, F.array("l")).otherwise(F.coalesce("lengths", none))
     rows = rows.select(*carried, "part", "i", F.explode(F.filter(lengths, lambda n: n <= room)).alias("l"))
@@ -109,10 +111,10 @@ def spans(rows: DataFrame, vocab: Vocabulary, carried: Sequence[str], keep_all:
 def _hits(rows: DataFrame, vocab: Vocabulary, carried: Sequence[str], keep_all: bool) -> DataFrame:
     """The merges whose token is a span of the rows, as (carried.., rank, pattern, result)."""
     rows = spans(rows, vocab, carried, keep_all)
-    merges = vocab.hinted_merges("span", "rank", "pattern", "result")
+    merges = vocab.hinted_merges(*vocab.by, "span", "rank", "pattern", "result")
     if not keep_all:
-        return rows.join(merges, "span")
-    return rows.join(merges, "span", "left").where(F.col("rank").isNotNull() | (F.col("l") == 1))
+        return rows.join(merges, [*vocab.by, "span"])
+    return rows.join(merges, [*vocab.by, "span"], "left").where(F.col("rank").isNotNull() | (F.col("l") == 1))
 
 
 def _found() -> Column:
@@ -121,13 +123,9 @@ def _found() -> Column:
 
 
 def _candidates(chunks: DataFrame, vocab: Vocabulary) -> DataFrame:
-    """Short chunks with ``found``, their possible merges as (rank, pattern, result).
-
-    Chunks already hashed by ``chunk`` stay where they are.
-    """
+    """Short chunks with ``found``, their possible merges as (rank, pattern, result)."""
     carried = chunks.columns
-    state = vocab.start_state(F.col("chunk"))
-    rows = chunks.select(*carried, state.alias("part"))
+    rows = chunks.withColumn("part", F.col("start_state"))
     rows = rows.withColumn("starts", F.greatest(F.char_length("part") - 1, F.lit(1)))
     return _hits(rows, vocab, carried, keep_all=True).groupBy(*carried).agg(_found().alias("found"))
 
@@ -137,7 +135,7 @@ def _by_length(chunks: DataFrame, vocab: Vocabulary, plan: Callable[[DataFrame],
 
     They are two readers, so the chunks are stored first and the text is read once.
     """
-    stored = written(chunks, "chunks")
+    stored = written(vocab.with_start(chunks), "chunks")
     size = F.coalesce(F.octet_length("chunk"), F.lit(0))
     short, long = plan(stored.where(size <= SHORT_BYTES)), stored.where(size > SHORT_BYTES)
     return short if long.isEmpty() else short.unionByName(_long_chunks(long, vocab))
@@ -146,7 +144,7 @@ def _by_length(chunks: DataFrame, vocab: Vocabulary, plan: Callable[[DataFrame],
 def candidate_sweep(chunks: DataFrame, vocab: Vocabulary) -> DataFrame:
     state = F.aggregate(
         "found",
-        vocab.start_state(F.col("chunk")),
+        F.col("start_state"),
         lambda s, m: F.replace(s, m["pattern"], m["result"]),
     )
     return _by_length(chunks, vocab, lambda short: _candidates(short, vocab).select(*chunks.columns, state.alias("state")))
@@ -162,19 +160,19 @@ def _search(state: Column, found: Column, size: Column) -> Column:
 
 
 def candidate_search(chunks: DataFrame, vocab: Vocabulary) -> DataFrame:
-    state = _search(vocab.start_state(F.col("chunk")), F.col("found"), F.octet_length("chunk"))
+    state = _search(F.col("start_state"), F.col("found"), F.octet_length("chunk"))
     return _by_length(chunks, vocab, lambda short: _candidates(short, vocab).select(*chunks.columns, state.alias("state")))
 
 
 def _pieces(numbered: DataFrame, vocab: Vocabulary) -> DataFrame:
-    """(number, part, starts): token strings in pieces of ``WINDOW``, each with as much of the next ones as a token may reach into."""
-    blocks = F.regexp_extract_all("start", F.lit(f"(?s).{{1,{WINDOW}}}"), F.lit(0))
+    """(number, by.., part, starts): token strings in pieces of ``WINDOW``, each with as much of the next ones as a token may reach into."""
+    blocks = F.regexp_extract_all("start_state", F.lit(f"(?s).{{1,{WINDOW}}}"), F.lit(0))
     over = vocab.max_span - 1
     following = [F.slice(blocks, F.lit(k + 2), F.size(blocks)).alias(f"next{k}") for k in range(math.ceil(over / WINDOW))]
-    rows = numbered.select("number", F.explode(F.arrays_zip(blocks.alias("own"), *following)).alias("b"))
+    rows = numbered.select("number", *vocab.by, F.explode(F.arrays_zip(blocks.alias("own"), *following)).alias("b"))
     after = F.concat(*(F.coalesce(f"b.next{k}", F.lit("")) for k in range(len(following))))
     return rows.select(
-        "number", F.concat("b.own", F.left(after, F.lit(over))).alias("part"), F.char_length("b.own").alias("starts")
+        "number", *vocab.by, F.concat("b.own", F.left(after, F.lit(over))).alias("part"), F.char_length("b.own").alias("starts")
     )
 
 
@@ -183,25 +181,25 @@ def _long_chunks(chunks: DataFrame, vocab: Vocabulary) -> DataFrame:
 
     Only the number of a chunk goes through the span lookup, not its text.
     """
-    numbered = chunks.select("*", vocab.start_state(F.col("chunk")).alias("start"), F.monotonically_increasing_id().alias("number"))
     # Stored, so that a number always means the same chunk.
-    numbered = written(numbered, "long-chunks")
-    found = _hits(_pieces(numbered, vocab), vocab, ["number"], keep_all=False).groupBy("number").agg(_found().alias("found"))
-    columns = chunks.columns
+    numbered = written(chunks.withColumn("number", F.monotonically_increasing_id()), "long-chunks")
+    found = _hits(_pieces(numbered, vocab), vocab, ["number", *vocab.by], keep_all=False)
+    found = found.groupBy("number").agg(_found().alias("found"))
+    columns = [c for c in chunks.columns if c != "start_state"]
     schema = StructType([*(chunks.schema[c] for c in columns), StructField("state", StringType())])
     merge = rank_merger()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             states = []
-            for start, merges in zip(batch.column("start").to_pylist(), batch.column("found").to_pylist()):
+            for start, merges in zip(batch.column("start_state").to_pylist(), batch.column("found").to_pylist()):
                 ranks = {}
                 for m in merges or ():
                     ranks.setdefault((m["pattern"][0], m["pattern"][1]), (m["rank"], m["result"]))
                 states.append("".join(merge(start, ranks)))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), pa.array(states, pa.string())], names=[*columns, "state"])
 
-    return numbered.join(found, "number", "left").select(*columns, "start", "found").mapInArrow(encode, schema)
+    return numbered.join(found, "number", "left").select(*columns, "start_state", "found").mapInArrow(encode, schema)
 
 
 def encode_chunks(chunks: DataFrame, vocab: Vocabulary) -> DataFrame:

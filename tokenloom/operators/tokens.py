@@ -41,7 +41,7 @@ def tokenize(
     dictionary = dictionary or build_dictionary(corpus, vocab)
     given = corpus.withColumn("given", F.col("text").isNotNull())
     rows = occurrences(given, [*key, "given"], vocab, keep_blank=True)
-    tokens = _gather(with_codes(rows, dictionary, ["state"]), key)
+    tokens = gathered(with_codes(rows, dictionary, ["state"]), key)
     if not keep:
         return tokens
     # Null keys are keys too.
@@ -73,7 +73,7 @@ def in_order(part: Column, name: str = "pos") -> Column:
     return F.when(unique, parts).otherwise(F.raise_error(F.lit("the key is not unique")))
 
 
-def _gather(pieces: DataFrame, key: Sequence[str]) -> DataFrame:
+def gathered(pieces: DataFrame, key: Sequence[str]) -> DataFrame:
     """Put (key.., given, pos, chunk, state) rows together in order, one row per key."""
     known = F.col("given") & (F.col("state").isNotNull() | F.col("chunk").isNull())
     whole = pieces.groupBy(*key).agg(in_order(F.col("state")).alias("parts"), F.bool_and(known).alias("ok"))

@@ -67,6 +67,7 @@ class Vocabulary:
     literal_tokens: tuple[str, ...] | None
     pattern: str = DEFAULT_PATTERN
     added: tuple[tuple[str, int], ...] = ()
+    by: tuple[str, ...] = ()
 
     @property
     def added_texts(self) -> tuple[str, ...]:
@@ -78,6 +79,9 @@ class Vocabulary:
         start = "".join(id_char(i) for i in self.byte_ids)
         return F.translate(byte_chars(chunk), every_byte, start)
 
+    def with_start(self, chunks: DataFrame) -> DataFrame:
+        return chunks.withColumn("start_state", self.start_state(F.col("chunk")))
+
     def hinted_merges(self, *columns: str) -> DataFrame:
         return hinted(self.merges.select(*columns), self.n_merges, 4 * self.span_bytes)
 
@@ -124,14 +128,7 @@ def build_vocabulary(
         "in_order",
     )
     ready = written(spans, "spans")
-    size = F.char_length("span")
-
-    def lengths(start: int, of: Column) -> DataFrame:
-        found = F.sort_array(F.collect_set(of)).alias("lengths")
-        return ready.where(size >= start).groupBy(F.left("span", F.lit(start)).alias("head")).agg(found)
-
-    heads = lengths(2, F.least(size, F.lit(HEAD))).union(lengths(HEAD, size))
-    heads = written(heads, "heads")
+    heads = written(span_heads(ready), "heads")
     facts = ready.agg(
         F.count("*").alias("n"),
         F.coalesce(F.sum(F.octet_length("span") + 32), F.lit(0)).alias("bytes"),
@@ -164,6 +161,17 @@ def build_vocabulary(
     )
 
 
+def span_heads(spans: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """(by.., head, lengths): beginnings of spans, as `Vocabulary.heads` describes them."""
+    size = F.char_length("span")
+
+    def lengths(start: int, of: Column) -> DataFrame:
+        found = F.sort_array(F.collect_set(of)).alias("lengths")
+        return spans.where(size >= start).groupBy(*by, F.left("span", F.lit(start)).alias("head")).agg(found)
+
+    return lengths(2, F.least(size, F.lit(HEAD))).union(lengths(HEAD, size))
+
+
 def validate_vocabulary(tokens: DataFrame, merges: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Problems of raw tables as rows (by.., problem, place); ``place`` is an id or a rank.
 
