@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 
 import brute
 import numpy as np
@@ -183,6 +184,70 @@ def test_quality_tables(spark, texts, nothing, full):
     assert kept.columns == full.columns and {r.doc_id for r in kept.collect()} >= {10, 11, 12}
 
 
+def jensen_shannon(p, q):
+    def part(a):
+        return sum(x * np.log2(2 * x / (x + y)) for x, y in zip(a, q if a is p else p, strict=True) if x)
+
+    return np.sqrt(max(0.0, (part(p) + part(q)) / 2))
+
+
+def test_quality_verdicts_against_a_plain_version(spark):
+    """Bounds from the labelled documents: unknown words go, other scripts and languages without a reference stay."""
+    rng = random.Random(12)
+    common = {lang: [f"{lang}{k}" for k in "abcdefghij"] for lang in ("xo", "yu")}
+
+    def prose(lang, count):
+        return " ".join(rng.choice(common[lang]) if rng.random() < 0.5 else "".join(rng.choices("aeioulmnrst", k=5)) for _ in range(count))
+
+    def gibberish(count):
+        return " ".join("".join(rng.choices("aeioulmnrst", k=5)) for _ in range(count))
+
+    good = [(n, prose(lang, rng.choice([50, 100, 250, 600])), lang) for n, lang in enumerate(["xo", "yu"] * 200)]
+    other = [(1000 + n, gibberish(300), "xo") for n in range(10)]
+    other += [(1100 + n, " ".join("".join(rng.choices("абвгдежз", k=6)) for _ in range(100)), "ru") for n in range(3)]
+    other += [(1200, "слово " + " ".join("".join(rng.choices("абвгдежз", k=6)) for _ in range(100)), None), (1300, prose("yu", 300), "xo")]
+    other += [(1400, " ".join("".join(rng.choices("абвгдежз", k=6)) for _ in range(100)), "xo"), (1500, gibberish(30), "xo")]
+    docs = spark.createDataFrame([*good, *other], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1) for i, _, _ in good] + [(1100, 1)], "doc_id long, quality int")
+    references = quality.fit_references(docs, labels)
+    assert references.languages == ("xo", "yu")
+
+    def words(text):
+        return brute.words(brute.ascii_lower(text))
+
+    counts = {lang: Counter(w for _, t, own in good if own == lang for w in words(t)) for lang in common}
+    vocabulary = sorted({w for c in counts.values() for w, _ in sorted(c.items(), key=lambda x: (-x[1], x[0]))[: quality.TOP_WORDS]})
+
+    def shares(counter):
+        total = sum(counter.values())
+        known = [counter[w] / total for w in vocabulary]
+        return [*known, 1 - sum(known)]
+
+    reference = [shares(c) for c in counts.values()]
+
+    def distance(text):
+        return min(jensen_shannon(shares(Counter(words(text))), q) for q in reference)
+
+    near = {}
+    for _, text, _ in good:
+        near.setdefault(len(words(text)).bit_length() - 1, []).append(distance(text))
+    unknown = min(jensen_shannon([0] * len(vocabulary) + [1], q) for q in reference)
+    rows = {r.doc_id: r for r in quality.judge(docs, references, ["doc_id"]).collect()}
+    for i, text, lang in [*good, *other]:
+        assert rows[i].word_distance == pytest.approx(distance(text))
+        n = len(words(text))
+        if rows[i].base_failed or n < quality.MIN_WORDS or lang not in ("xo", "yu"):
+            assert rows[i].kept != rows[i].base_failed
+            continue
+        own = sorted(near[max(k for k in near if k <= n.bit_length() - 1 and len(near[k]) >= quality.LEAST_IN_OCTAVE)])
+        upper = own[int(np.ceil(quality.QUANTILE * len(own))) - 1]
+        far = rows[i].class_distance > quality.MAX_CLASS_DISTANCE or rows[i].word_distance > (upper + unknown) / 2
+        assert rows[i].kept == (not far)
+    kept = {i for i, r in rows.items() if r.kept}
+    assert {i for i, _, _ in good} <= kept and {1100, 1101, 1102, 1200, 1300, 1500} <= kept
+    assert not kept & {1400, *range(1000, 1010)}
+
+
 def test_quality_keeps_labelled_good_documents(spark):
     judged = ENTRIES["op10_quality_rules"].run(spark, "/root/testdata/sf0.01")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet").where("quality = 1")
