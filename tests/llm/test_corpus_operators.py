@@ -350,3 +350,4 @@ def test_the_pipeline_equals_its_plain_version(spark):
         for n, (a, size) in enumerate(packing.piece_bounds(len(ids), packing.MAX_LENGTH))
     }
     assert got == pieces
+    assert all(zlib.crc32(np.array(r.ids, "<u4").tobytes()) == r.ids_crc32 for r in result)

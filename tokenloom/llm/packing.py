@@ -66,13 +66,13 @@ def cut_pieces(
             for number, (start, length) in enumerate(piece_bounds(len(ids), longest)):
                 own = ids[start : start + length]
                 piece = {"piece": number, "start": start, "length": length, "ids_crc32": zlib.crc32(own.tobytes())}
-                found.append(piece | ({"ids": own.astype(np.int64)} if with_ids else {}))
+                found.append(piece | ({"ids": own.astype(np.int32)} if with_ids else {}))
             out.append(found)
         fields = [("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())]
-        fields += [("ids", pa.list_(pa.int64()))] if with_ids else []
+        fields += [("ids", pa.list_(pa.int32()))] if with_ids else []
         return [pa.array(out, pa.list_(pa.struct(fields)))]
 
-    ids = ", ids: array<long>" if with_ids else ""
+    ids = ", ids: array<int>" if with_ids else ""
     schema = f"pieces array<struct<piece: int, start: long, length: long, ids_crc32: long{ids}>>"
     named = docs.select(quoted(key).alias("id"), quoted(text).alias("text"))
     return map_texts(named, "text", run, schema, keep=["id"]).select("id", F.inline("pieces"))
@@ -263,10 +263,10 @@ def sequences(packed: DataFrame) -> DataFrame:
 
 def packed_documents(spark: SparkSession, folder: str) -> DataFrame:
     """The query: where each piece of each document went."""
-    return pack_texts(spark, spark.read.parquet(f"{folder}/documents.parquet"), folder)
+    return pack_texts(spark, spark.read.parquet(f"{folder}/documents.parquet"), folder, with_ids=False)
 
 
-def pack_texts(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """The pipeline's last stage: its documents as packed pieces."""
-    pieces = written(cut_pieces(docs, bpe.default_path(), with_ids=False), "pieces")
+def pack_texts(spark: SparkSession, docs: DataFrame, folder: str, with_ids: bool = True) -> DataFrame:
+    """The pipeline's last stage: its documents as packed pieces, with their ids; ``sequences`` puts them together."""
+    pieces = written(cut_pieces(docs, bpe.default_path(), with_ids=with_ids), "pieces")
     return pack(pieces).withColumnRenamed("id", "doc_id")
