@@ -13,15 +13,18 @@ Two documents are linked when 100 * intersection >= 75 * union, confirmed on ful
      are in long lists. Each of these is paired with the list's most central document.
 3. The bottom-k of the union of two sketches estimates their similarity; pairs
    clearly below the threshold go.
-4. Documents of the long lists form families around a central document, the pivot. One
-   exact comparison with its pivot joins every member that is similar to it. The best
-   candidate of every document is confirmed on full sets too, which joins most large
-   groups at once. Then every candidate across two groups is confirmed.
-5. What is left in long lists lies across groups. Within a family, sets differ as much as
-   their differences from the pivot do, so a prefix filter over these differences, which
-   hold what is rare in the family, gives the candidates. Across families a prefix
-   filter over full sets does. Both are exact: no pair is cut off by a cap, and what is
-   never compared is already in one group, or cannot be similar.
+4. Documents of the long lists form families around a common document. A family's pivot
+   is the set of what most of its members hold, and its hub the member closest to that.
+   Sets differ as much as their differences from the pivot do, so one comparison of each
+   member with its hub links all that are similar to that. The best candidate of every
+   document is confirmed on full sets, which with these links joins most large groups.
+   Then every candidate across two groups is confirmed.
+5. What is left in long lists lies across groups. Within a family, a prefix filter over
+   the differences from the pivot, which hold what is rare in the family, gives the
+   candidates. Across families a prefix filter over full sets does. In both, a pair goes
+   at once where the parities of two sets in a few hundred buckets differ in more places
+   than similar sets differ in elements. All is exact: no pair is cut off by a cap, and
+   what is never compared is already in one group, or cannot be similar.
 
 Nulls and odd input: a null text is empty; a text without words has an empty set and
 is linked with nothing. A row with a null id is linked with nothing, has a null
@@ -52,6 +55,8 @@ HOT = 16
 SHARED = 0.4
 LEADER_LISTS = 3
 STEP = 1.05
+PARITY = 8  # longs
+FINER = 1.1  # sizes that differ by less than this may share a second hub
 MEMBERS = 500  # of a family, for each copy of its pivot's set
 
 SKETCH = "n_shingles long, s1 long, s2 long, sketch array<long>"
@@ -159,41 +164,69 @@ def candidates(reps: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _differences(families: DataFrame, sets: DataFrame) -> DataFrame:
-    """rep, n, family, n_pivot, diff (what only one of a set and its pivot's set holds). The result is stored.
+    """rep, family, parity, n, m, diff: what only one of a set and its family's pivot holds, and the sizes. The result is stored.
 
-    A pivot's set is copied for every ``MEMBERS`` members, so a large family is dealt out.
+    A pivot holds what more than half of the family's sets hold, so it is no longer than
+    two of them. It is copied for every ``MEMBERS`` members, so a large family is dealt out.
     """
-    sizes = families.groupBy("family").agg(F.ceil(F.count("*") / MEMBERS).cast("int").alias("copies"))
-    pivots = sizes.join(sets.select(F.col("rep").alias("family"), F.col("set").alias("pivot")), "family")
-    pivots = pivots.select("family", "pivot", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy"))
-    heavy = find(families, written(sizes, "family-sizes"), ["family"], "copies", "copies")
-    members = heavy.join(sets, "rep").withColumn("copy", F.pmod(F.xxhash64("rep"), F.col("copies")).cast("int"))
+    sizes = written(families.groupBy("family").agg(F.count("*").alias("members")), "family-sizes")
+    members = find(families, sizes, ["family"], "members", "members").join(sets, "rep")
+    values = members.select("family", "members", F.explode("set").alias("value"))
+    common = values.groupBy("family", "value").agg(F.count("*").alias("holders"), F.max("members").alias("members"))
+    pivots = common.where("2 * holders > members").groupBy("family").agg(F.collect_list("value").alias("pivot"))
+    last = F.floor((F.col("members") - 1) / MEMBERS).cast("int")
+    pivots = sizes.join(pivots, "family", "left").select(
+        "family", F.coalesce("pivot", F.array().cast("array<long>")).alias("pivot"), F.explode(F.sequence(F.lit(0), last)).alias("copy")
+    )
+    members = members.withColumn("copy", F.pmod(F.xxhash64("rep"), last + 1).cast("int"))
     joined = members.join(pivots, ["family", "copy"])
     diff = F.concat(F.array_except("set", "pivot"), F.array_except("pivot", "set"))
-    return written(joined.select("rep", F.size("set").alias("n"), "family", F.size("pivot").alias("n_pivot"), diff.alias("diff")), "differences")
+    sized = joined.select("rep", "family", "parity", F.size("set").alias("n"), diff.alias("diff"))
+    return written(sized.withColumn("m", F.size("diff")), "differences")
 
 
-def _within_families(differences: DataFrame, groups: DataFrame) -> DataFrame:
-    """Candidate pairs of one family, of which at least one is not in its pivot's group.
+def _hubs(differences: DataFrame) -> DataFrame:
+    """rep, family, n, m, hub, room, linked. The result is stored.
 
-    With X and Y the differences of x and y from the pivot b, x and y are similar when
-    |X| + |Y| - 2 |X & Y| <= (|x| + |y|) / 7. A seeker x is not similar to b, so
-    |X| > (|x| + |b|) / 7, and at least (|Y| + (|b| - |y|) / 7) / 2 of Y must be in X: the
-    first shared one, rarest first, stands in Y's other half. Where this asks for nothing,
-    7 |Y| <= |y| - |b|, the pair need not share a difference; whoever has room for one of
-    these has it for the one with most, so each seeker is paired with that one.
+    ``hub``: the member of the family that differs least from the pivot; ``room``: n - 7 m
+    of it; ``linked``: whether a member is similar to it.
+    """
+    room = F.struct((F.col("n") - 7 * F.col("m")).alias("room"), (-F.col("rep")).alias("rep"))
+    most = differences.groupBy("family").agg(F.count("*").alias("members"), F.max(room).alias("most"))
+    hubs = most.select("family", "members", (-F.col("most.rep")).alias("hub"), F.col("most.room").alias("room"))
+    hubs = written(hubs.withColumn("own", F.struct("hub", "room", "members")), "hubs")
+    last = F.floor((F.col("members") - 1) / MEMBERS).cast("int")
+    of_hub = differences.select(F.col("rep").alias("hub"), F.col("n").alias("n_h"), F.col("m").alias("m_h"), F.col("diff").alias("diff_h"))
+    copies = hubs.join(of_hub, "hub").select("hub", "n_h", "m_h", "diff_h", F.explode(F.sequence(F.lit(0), last)).alias("copy"))
+    placed = find(differences.select("rep", "family", "n", "m", "diff"), hubs, ["family"], "members", "own")
+    placed = placed.select("rep", "family", "n", "m", "diff", "own.*").withColumn("copy", F.pmod(F.xxhash64("rep"), last + 1).cast("int"))
+    both = F.size(F.array_intersect("diff", "diff_h"))
+    linked = 7 * (F.col("m") + F.col("m_h") - 2 * both) <= F.col("n") + F.col("n_h")
+    return written(placed.join(copies, ["hub", "copy"]).select("rep", "family", "n", "m", "hub", "room", linked.alias("linked")), "members")
+
+
+def _within_families(differences: DataFrame, hubs: DataFrame, groups: DataFrame) -> DataFrame:
+    """Candidate pairs of one family, of which at least one is not in its hub's group.
+
+    With X and Y the differences of x and y from the pivot, x and y are similar when
+    |X| + |Y| - 2 |X & Y| <= (|x| + |y|) / 7. Without anything shared that asks for
+    7 |X| - |x| <= |y| - 7 |Y|, the room of y. Nobody has more room than the hub, so whoever
+    fits into the hub's is similar to it, and linked. A seeker x does not fit, so at least
+    (|Y| + (room - |y|) / 7) / 2 of Y must be in X: the first shared one, rarest first,
+    stands in Y's other half.
     """
-    groups = written(groups, "family-groups")
-    placed = _in_groups(differences, groups, "rep", "group")
-    placed = written(_in_groups(placed, groups, "family", "home").withColumn("m", F.size("diff")), "placed")
-    elements = placed.select("rep", "n", "n_pivot", "family", "group", "home", "m", F.explode("diff").alias("value"))
+    placed = _in_groups(_in_groups(hubs, groups, "rep", "group"), groups, "hub", "home")
+    elements = placed.join(differences.select("rep", "diff"), "rep")
+    elements = elements.select("rep", "n", "m", "room", "family", "group", "home", F.explode("diff").alias("value"))
     shared = written(elements.groupBy("family", "value").agg(F.count("*").alias("df")).where("df > 1"), "shared-differences")
     found = find(elements, shared.withColumn("weight", F.col("df")), ["family", "value"], "weight", "df")
     rarity = Window.partitionBy("rep").orderBy(F.coalesce("df", F.lit(1)), "value")
     entries = written(found.withColumn("pos", F.row_number().over(rarity)).where("df IS NOT NULL"), "ordered-differences")
 
+    parities = differences.select("rep", "parity")
     seekers = entries.where("group <> home AND 3 * (pos - 1) <= n").select("rep", "n", "m", "pos", "family", "group", "value")
-    listed = entries.where("14 * (pos - 1) <= 7 * m + n - n_pivot").select(
+    seekers = seekers.join(parities, "rep")
+    listed = entries.where("14 * (pos - 1) <= 7 * m + n - room").join(parities, "rep").select(
         "family",
         "value",
         F.col("rep").alias("rep_l"),
@@ -201,18 +234,12 @@ def _within_families(differences: DataFrame, groups: DataFrame) -> DataFrame:
         F.col("m").alias("m_l"),
         F.col("pos").alias("pos_l"),
         F.col("group").alias("group_l"),
+        F.col("parity").alias("parity_l"),
     )
     # No more differences are shared from the first shared one on than what is left of either.
     apart = "group <> group_l AND 7 * (m + m_l - 2 * (1 + least(m - pos, m_l - pos_l))) <= n + n_l"
-    meeting = seekers.join(listed, ["family", "value"]).where(apart).select("rep", "rep_l")
-
-    room = F.max(F.struct((F.col("n") - 7 * F.col("m")).alias("room"), (-F.col("rep")).alias("rep"), "group"))
-    roomy = placed.groupBy("family").agg(room.alias("most"))
-    roomy = written(roomy.withColumn("members", F.lit(1)), "roomy")
-    alone = find(placed.where("group <> home").select("rep", "n", "m", "family", "group"), roomy, ["family"], "members", "most")
-    alone = alone.where("group <> most.group AND 7 * m - n <= most.room").select("rep", (-F.col("most.rep")).alias("rep_l"))
-    both = meeting.union(alone)
-    return both.select(F.least("rep", "rep_l").alias("a"), F.greatest("rep", "rep_l").alias("b")).distinct()
+    meeting = seekers.join(listed, ["family", "value"]).where(apart).where(_may_be_similar("n", "parity", "n_l", "parity_l"))
+    return meeting.select(F.least("rep", "rep_l").alias("a"), F.greatest("rep", "rep_l").alias("b")).distinct()
 
 
 def _rarest_first(families: DataFrame, sets: DataFrame, groups: DataFrame) -> DataFrame:
@@ -257,32 +284,57 @@ def _across_families(families: DataFrame, sets: DataFrame, groups: DataFrame) ->
     sizes = small.select(*keys, "family").union(large.select(*keys, "family")).groupBy(*keys, "family").count()
     mixed = sizes.groupBy(*keys).agg(F.count("*").alias("families"), F.max_by("family", F.struct("count", "family")).alias("main"))
     mixed = written(mixed.where("families > 1").select(*keys, "main"), "mixed-keys")
-    small = small.join(mixed, keys)
-    large = large.join(mixed.withColumnRenamed("main", "main_l"), keys).select(
+    parities = sets.select("rep", "parity")
+    small = small.join(mixed, keys).join(parities, "rep")
+    large = large.join(mixed.withColumnRenamed("main", "main_l"), keys).join(parities, "rep").select(
         *keys,
         F.col("rep").alias("rep_l"),
         F.col("n").alias("n_l"),
         F.col("pos").alias("pos_l"),
         F.col("group").alias("group_l"),
         F.col("family").alias("family_l"),
+        F.col("parity").alias("parity_l"),
         "main_l",
     )
+    similar = _may_be_similar("n", "parity", "n_l", "parity_l")
     # No more is shared from a pair's first shared shingle on than what is left of either document.
     apart = "family <> family_l AND group <> group_l AND n <= n_l AND 7 * (1 + least(n - pos, n_l - pos_l)) >= 3 * (n + n_l)"
     pairs = [
-        small.where("family <> main").join(large, keys).where(apart),
-        small.where("family = main").join(large.where("family_l <> main_l"), keys).where(apart),
+        small.where("family <> main").join(large, keys).where(apart).where(similar),
+        small.where("family = main").join(large.where("family_l <> main_l"), keys).where(apart).where(similar),
     ]
     ends = [p.select(F.least("rep", "rep_l").alias("a"), F.greatest("rep", "rep_l").alias("b")) for p in pairs]
     return ends[0].union(ends[1]).distinct()
 
 
+def _parities(sets: list[np.ndarray]) -> pa.Array:
+    """For each set, which of ``64 * PARITY`` buckets hold an odd number of its hashes, as bits.
+
+    What two sets share cancels out, so their parities differ in at most as many buckets
+    as the sets differ in elements.
+    """
+    buckets = 64 * PARITY
+    odd = [np.bincount(s.view(np.uint64) % np.uint64(buckets), minlength=buckets).astype(np.uint8) & 1 for s in sets]
+    return _longs([np.packbits(o).view(np.int64) for o in odd])
+
+
+def _may_be_similar(n: str, parity: str, n_l: str, parity_l: str) -> Column:
+    """Whether two sets of these sizes and parities can differ in as few elements as similar ones do."""
+    differing = F.zip_with(parity, parity_l, lambda a, b: F.bit_count(a.bitwiseXOR(b)))
+    return 7 * F.aggregate(differing, F.lit(0), lambda done, x: done + x) <= F.col(n) + F.col(n_l)
+
+
 def full_sets(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFrame:
-    """rep, set: the sets of the documents in ``wanted`` (stored, one column ``rep``)."""
+    """rep, set, parity: the sets of the documents in ``wanted`` (stored, one column ``rep``)."""
     count = wanted.count()
     named = docs.select(quoted(key).alias("rep"), quoted(text).alias("text"))
     texts = named.join(hinted(wanted, count, 8 * count), "rep", "left_semi")
-    return map_texts(texts, "text", lambda part: [_longs(_sets(part))], "`set` array<long>", keep=["rep"])
+
+    def run(part):
+        sets = _sets(part)
+        return [_longs(sets), _parities(sets)]
+
+    return map_texts(texts, "text", run, "`set` array<long>, parity array<long>", keep=["rep"])
 
 
 def near_links(docs: DataFrame, reps: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -293,8 +345,13 @@ def near_links(docs: DataFrame, reps: DataFrame, key: str = "doc_id", text: str
     sets = written(full_sets(docs, written(ends.distinct(), "ends"), key, text), "sets")
 
     differences = _differences(families, sets)
-    stars = differences.where("rep <> family AND 7 * size(diff) <= n + n_pivot")
-    stars = stars.select(F.least("rep", "family").alias("a"), F.greatest("rep", "family").alias("b"))
+    hubs = _hubs(differences)
+    # Members far from their hub, such as shortened copies, get another hub among those of about their size.
+    size = F.floor(F.log(F.col("n").cast("double")) / math.log(FINER)).alias("size")
+    left = hubs.where("NOT linked").select("rep", F.xxhash64("family", size).alias("family"))
+    finer = _hubs(_differences(written(left, "families"), sets))
+    near_hub = hubs.select("rep", "hub", "linked").union(finer.select("rep", "hub", "linked")).where("linked AND rep <> hub")
+    stars = near_hub.select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b"))
     sides = estimated.select(F.col("a").alias("node"), "a", "b", "estimate").union(
         estimated.select(F.col("b").alias("node"), "a", "b", "estimate")
     )
@@ -304,7 +361,7 @@ def near_links(docs: DataFrame, reps: DataFrame, key: str = "doc_id", text: str
     groups = written(components(links), "groups")
 
     rest = _across(estimated, groups).join(first, ["a", "b"], "left_anti")
-    within, across = _within_families(differences, groups), _across_families(families, sets, groups)
+    within, across = _within_families(differences, hubs, groups), _across_families(families, sets, groups)
     rest = rest.union(_estimated(within.union(across), reps).select("a", "b")).distinct()
     more = written(confirmed(rest, sets), "confirmed")
     return components(links.union(more))
