@@ -239,10 +239,23 @@ def test_least_squares_fit_reaches_an_exact_solution():
 
 
 def brute_rules(labelled: list[tuple[list[str], bool]], least: int, sure: float) -> dict[tuple, tuple[float, int]]:
+    """Rules over all combinations of the items of each URL; an item is all tokens that the same URLs have."""
+    having, blocked = {}, Counter()
+    for n, (tokens, block) in enumerate(labelled):
+        for t in tokens:
+            having.setdefault(t, set()).add(n)
+            blocked[t] += block
+    members = {}
+    for t, rows in having.items():
+        if blocked[t] >= least:
+            members.setdefault(frozenset(rows), []).append(t)
+    item_of = {t: min(own) for own in members.values() for t in own}
+    members = {min(own): own for own in members.values()}
     seen, hits = Counter(), Counter()
     for tokens, block in labelled:
-        for size in range(1, len(tokens) + 1):
-            for own in itertools.combinations(sorted(tokens), size):
+        items = sorted({item_of[t] for t in tokens if t in item_of})
+        for size in range(1, len(items) + 1):
+            for own in itertools.combinations(items, size):
                 seen[own] += 1
                 hits[own] += block
     z = 1.96
@@ -252,7 +265,8 @@ def brute_rules(labelled: list[tuple[list[str], bool]], least: int, sure: float)
         bound = (share + z * z / (2 * count) - z * ((share * (1 - share) / count + z * z / (4 * count * count)) ** 0.5)) / (1 + z * z / count)
         if n >= least and bound >= sure:
             good[own] = (share, n)
-    return {o: v for o, v in good.items() if not any(set(p) < set(o) and w[0] >= v[0] for p, w in good.items())}
+    left = {o: v for o, v in good.items() if not any(set(p) < set(o) and w[0] >= v[0] for p, w in good.items())}
+    return {tuple(sorted(t for item in o for t in members[item])): v for o, v in left.items()}
 
 
 @pytest.fixture(scope="module")
@@ -274,10 +288,9 @@ def labelled_pages(spark):
 def test_mined_rules(spark, labelled_pages):
     pages, labels = labelled_pages
     labelled = urls.labelled_urls(pages, labels).cache()
-    rules = urls.mine_rules(labelled, min_support=0.02, min_count=4, min_confidence=0.6)
+    rules = urls.mine_rules(labelled, min_count=8, min_confidence=0.6, most_items=16)
     plain = [(r.tokens, r.block) for r in labelled.collect()]
-    least = int(np.ceil(max(0.02, 4 / len(plain)) * len(plain)))
-    want = brute_rules(plain, least, 0.6)
+    want = brute_rules(plain, 8, 0.6)
     got = {tuple(sorted(r.tokens)): (r.confidence, r.support) for r in rules.collect()}
     assert want and got.keys() == want.keys()
     assert all(got[k] == pytest.approx(want[k]) for k in want)
@@ -292,6 +305,37 @@ def test_mined_rules(spark, labelled_pages):
     assert [(by_id[n].host, by_id[n].path, by_id[n].verdict) for n in (900, 901, 902, 903)] == [("", "", "allow")] * 4
 
 
+def test_a_rare_bad_host_by_default_parameters(spark):
+    rng = random.Random(8)
+    pages = [f"https://site{rng.randrange(300)}.example.com/{rng.choice('abcdefgh')}/{rng.choice('xyz')}" for _ in range(5000)]
+    pages += [f"https://rare.bad.example/{rng.choice('abcdefgh')}/{rng.choice('xyz')}" for _ in range(12)]
+    plain = [(u, n >= 5000 or rng.random() < 0.05) for n, u in enumerate(pages)]
+    labelled = spark.createDataFrame(plain, "url string, block boolean").select(urls.tokens_of(F.col("url")).alias("tokens"), "block")
+    rules = urls.mine_rules(labelled)
+    want = brute_rules([(r.tokens, r.block) for r in labelled.collect()], urls.MIN_COUNT, urls.MIN_CONFIDENCE)
+    got = {tuple(sorted(r.tokens)): (r.confidence, r.support) for r in rules.collect()}
+    assert got.keys() == want.keys() and any("host=rare.bad.example" in tokens for tokens in got)
+    judged = urls.judge_urls(spark.createDataFrame(list(enumerate(pages)), "page_id long, url string"), rules)
+    assert {r.page_id for r in judged.where("verdict = 'block'").collect()} == set(range(5000, 5012))
+
+
+def test_long_templates_are_mined(spark):
+    """Forty words in every URL, and forty of which each URL lacks another one."""
+    words = [f"w{'abcdefghij'[n // 10]}{'abcdefghij'[n % 10]}" for n in range(40)]
+    whole = ["https://t.example.com/" + "/".join(words)] * 200
+    gaps = ["https://u.example.com/" + "/".join("v" + w for n, w in enumerate(words) if n != k % 40) for k in range(400)]
+    clean = [f"https://c.example.com/{n % 7}" for n in range(1500)]
+    plain = [(u, n < 600) for n, u in enumerate(whole + gaps + clean)]
+    labelled = spark.createDataFrame(plain, "url string, block boolean").select(urls.tokens_of(F.col("url")).alias("tokens"), "block")
+    rules = urls.mine_rules(labelled)
+    assert 2 <= rules.count() <= 2 ** urls.MOST_ITEMS * 41
+    pages = spark.createDataFrame([(n, u) for n, (u, _) in enumerate(plain)], "page_id long, url string")
+    assert {r.page_id for r in urls.judge_urls(pages, rules).where("verdict = 'block'").collect()} == set(range(600))
+    # Many tokens in one URL: a page is compared with a rule only under the rule's key.
+    long = spark.createDataFrame([(1, "https://t.example.com/" + "/".join(f"p{n:x}q".translate(str.maketrans("0123456789", "ghijklmnop")) for n in range(100_000)))], "page_id long, url string")
+    assert urls.judge_urls(long, rules).first().verdict == "allow"
+
+
 def test_mining_nothing(spark, labelled_pages):
     pages, labels = labelled_pages
     rules = urls.mine_rules(urls.labelled_urls(pages, labels.limit(0)))
