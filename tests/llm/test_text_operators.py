@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import random
+import re
+import time
 from collections import Counter
 
 import brute
@@ -345,6 +347,28 @@ def test_added_secret_kinds_and_odd_rows(spark, nothing):
     assert secrets.scan(nothing).count() == 0
 
 
+def test_token_runs_that_lead_to_no_match(spark):
+    """The faster expression finds what the plain one does."""
+    plain = {r.kind: r.pattern for r in secrets.RULES}["jwt"]
+    rng = random.Random(9)
+    texts = ["".join(rng.choices(["eyJ", "eyJa", ".eyJb", ".c", "_", " ", "é"], k=rng.randint(1, 30))) for _ in range(400)]
+    found = secrets.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    got = {r.id: [(s.start, s.end) for s in r.spans if s.kind == "jwt"] for r in found.collect()}
+    want = {n: [m.span() for m in re.finditer(plain, t)] for n, t in enumerate(texts)}
+    assert got == want and sum(map(len, want.values())) > 20
+
+
+LONG_RUNS = ["eyJ", "token ", "secret=", "AKIA", "0123456789abcde ", "ghp_", "xoxb-", "AIza", "sk_live_", "-----BEGIN ", "-----BEGIN RSA PRIVATE KEY", "Bearer ", " ", "password:" + " " * 50, '"']
+
+
+def test_a_megabyte_of_each_rules_beginning(spark):
+    rows = [(n, piece * (1_000_000 // len(piece)) + (" .eyJ" if piece == "eyJ" else "")) for n, piece in enumerate(LONG_RUNS)]
+    started = time.monotonic()
+    found = secrets.scan(spark.createDataFrame(rows, "doc_id long, text string").repartition(8))
+    counts = {r.id: len(r.spans) for r in found.collect()}
+    assert time.monotonic() - started < 60 and counts[0] == 0 and len(counts) == len(rows)
+
+
 def test_running_sums(spark):
     for n in (0, 1, 255, 256, 257, 70_000):
         row = spark.range(1).select(F.transform(F.sequence(F.lit(1), F.lit(max(n, 1))), lambda x: (x % 7).cast("int")).alias("a"))
