@@ -13,7 +13,7 @@ from tokenizers import Tokenizer
 from tokenizers.pre_tokenizers import ByteLevel
 
 from tokenloom.fixtures import END_OF_TEXT, MERGES_64, USER, large_file, spelled, vocabulary_64, vocabulary_of_file
-from tokenloom.functions.chunks import chunk_array
+from tokenloom.functions.chunks import chunk_array, cut_added
 from tokenloom.functions.codes import MAX_ID, char_of_id, id_char, id_of_char, ids_of_state
 from tokenloom.operators.dictionary import build_dictionary, count_chunks
 from tokenloom.operators.encode import encode_chunks, literal_sweep, spans
@@ -241,6 +241,48 @@ def test_added_tokens(spark, plan):
     }
 
 
+def plainly_cut(text, added, longest):
+    """(part, token) pairs: at each place from the left the longest added token, or the next place."""
+    pieces, start, at = [], 0, 0
+    while at < len(text):
+        token = next((text[at : at + n] for n in range(longest, 0, -1) if text[at : at + n] in added), None)
+        if token:
+            pieces.append((text[start:at], token))
+            start = at = at + len(token)
+        else:
+            at += 1
+    return [*pieces, (text[start:], None)]
+
+
+def test_cutting_out_added_tokens(spark):
+    rng = random.Random(3)
+    letters = "ab<|é日👍.-]^$\\"
+    added = {"".join(rng.choices(letters, k=rng.randint(1, 5))) for _ in range(300)}
+    texts = ["".join(rng.choices(letters + "xyz\n", k=rng.randint(0, 60))) for _ in range(200)]
+    added |= {"q" * n for n in range(2, 200, 3)}
+    texts += ["q" * n for n in range(1, 400, 7)] + ["", "q" * 100_000]
+    found = frame(spark, texts).select("doc_id", cut_added(F.col("text"), sorted(added)).alias("p")).collect()
+    for r in found:
+        got = [(p.part, p.token) for p in r.p]
+        want = plainly_cut(texts[r.doc_id], added, 200)
+        # After the last token an empty rest may be listed or not.
+        assert [p for p in got if any(p)] == [p for p in want if any(p)]
+    assert frame(spark, [None]).select(cut_added(F.col("text"), ["a"])).first()[0] is None
+
+
+def test_a_hundred_thousand_added_tokens(spark):
+    rng = random.Random(5)
+    added = sorted({"".join(rng.choices("abcdefghijklmnopqrstuvwxyz日本é", k=rng.randint(4, 9))) for _ in range(101_000)})[:100_000]
+    vocab = vocabulary_64(spark)
+    vocab = dataclasses.replace(vocab, literal_merges=None, added=tuple((t, 1000 + n) for n, t in enumerate(added)))
+    texts = [" ".join(rng.choices(added, k=300)) + " \u00df" for _ in range(50)] + ["!" * 1000, ""]
+    ids = {r["doc_id"]: r["ids"] for r in tokenize(frame(spark, texts), vocab).collect()}
+    number, longest = {t: 1000 + n for n, t in enumerate(added)}, max(map(len, added))
+    for n, text in enumerate(texts):
+        want = [number[t] for _, t in plainly_cut(text, number, longest) if t]
+        assert [i for i in ids[n] if i >= 1000] == want
+
+
 def test_dictionary_too_large_to_broadcast(spark):
     vocab = dataclasses.replace(vocabulary_64(spark), literal_merges=None)
     rng = random.Random(11)

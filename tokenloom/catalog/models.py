@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tokenloom.catalog import sql
 from tokenloom.catalog.base import Entry, documents, joined, long
 from tokenloom.fixtures import END_OF_TEXT, MERGES_64, USER, large_file, model_arrays, vocabulary_64, vocabulary_of_file
-from tokenloom.functions.chunks import DEFAULT_PATTERN
+from tokenloom.functions.chunks import DEFAULT_PATTERN, cut_added
 from tokenloom.operators.models import MODEL, models_from_metadata, tokenize_by_model
 from tokenloom.operators.tokens import token_counts, tokenize
 from tokenloom.sources.corpus import read_corpus
@@ -45,6 +45,42 @@ def tokens_by_source_of_file(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts(documents(spark, folder, ["source"]), vocabulary_of_file(spark, large_file()), ["source"], few_groups=True)
 
 
+# Words of the file's vocabulary that stand as added tokens, spelled in the byte alphabet.
+ADDED_WORDS = "\u0120[A-Za-z]{3,}"
+
+
+def texts_without_added_words(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents cut by every word of a large vocabulary, tens of thousands: what is left, a mark for each word cut out."""
+    listed = vocabulary_of_file(spark, large_file()).tokens.where(F.col("token").rlike(f"^{ADDED_WORDS}$"))
+    # A part of one vocabulary, as added tokens are.
+    added = [" " + r["token"][1:] for r in listed.select("token").collect()]
+    cut = documents(spark, folder).select("doc_id", cut_added(F.col("text"), added).alias("pieces"))
+    mark = F.transform("pieces", lambda p: F.concat(p["part"], F.when(p["token"].isNotNull(), "\x01").otherwise("")))
+    found = F.array_compact(F.col("pieces.token"))
+    return cut.select(
+        "doc_id",
+        F.size(found).cast("bigint").alias("n_added"),
+        F.sha2(F.array_join(found, ""), 256).alias("added_sha256"),
+        F.sha2(F.array_join(mark, ""), 256).alias("rest_sha256"),
+    )
+
+
+def _cut_sql() -> str:
+    # A word to cut out has one space, at its start, so the longest that begins each " letters" is cut out.
+    return f"""WITH file AS MATERIALIZED (
+      SELECT unnest(map_keys(model.vocab)) AS tok FROM read_json({sql.quoted(large_file())}, maximum_object_size=1000000000,
+        columns={{model: 'STRUCT(vocab MAP(VARCHAR, BIGINT))'}})),
+    added AS MATERIALIZED (SELECT ' ' || substr(tok, 2) AS word FROM file WHERE regexp_full_match(tok, '{ADDED_WORDS}')),
+    cut AS (SELECT doc_id, regexp_extract_all(text, ' [A-Za-z]+') AS runs, string_split_regex(text, ' [A-Za-z]+') AS parts FROM documents),
+    occ AS (SELECT doc_id, unnest(range(len(parts))) AS i, unnest(parts) AS part, unnest(list_concat(runs, [''])) AS run FROM cut),
+    beginnings AS (SELECT run, unnest(range(1, length(run) + 1)) AS n FROM (SELECT DISTINCT run FROM occ)),
+    longest AS (SELECT run, max(n) AS n FROM beginnings JOIN added ON left(run, n) = word GROUP BY run)
+    SELECT doc_id, count(n)::BIGINT AS n_added,
+      sha256(string_agg(coalesce(left(run, n), ''), '' ORDER BY i)) AS added_sha256,
+      sha256(string_agg(part || coalesce(chr(1) || substr(run, n + 1), run), '' ORDER BY i)) AS rest_sha256
+    FROM occ LEFT JOIN longest USING (run) GROUP BY doc_id"""
+
+
 # -- many models in one job -------------------------------------------------
 
 # By language: how many of the merges its model has, its pre-tokenizer, and whether it begins with the BOS id.
@@ -118,6 +154,7 @@ if importlib.util.find_spec("public_tokenizers"):
     SELECT d.doc_id, coalesce(string_agg(ids, ' ' ORDER BY pos), '') AS ids, coalesce(sum(n), 0)::BIGINT AS n_tokens, true AS ok
     FROM documents d LEFT JOIN occ USING (doc_id) LEFT JOIN enc USING (chunk) GROUP BY d.doc_id""",
         ),
+        "texts_without_added_words": Entry("PRJ11", texts_without_added_words, _cut_sql()),
         "tokens_by_source_of_file": Entry(
             "SRC2, JN4, AG3",
             tokens_by_source_of_file,

@@ -220,12 +220,12 @@ def encode_chunks(chunks: DataFrame, vocab: Vocabulary) -> DataFrame:
 
 
 def _added_as_one(encoded: DataFrame, vocab: Vocabulary) -> DataFrame:
-    # The list is bounded by MAX_ADDED_TOKENS when the vocabulary is loaded.
     added = encoded.sparkSession.createDataFrame(
         [(text, id_char(token_id)) for text, token_id in vocab.added], "chunk string, whole string"
     )
+    size = sum(len(text.encode()) + 32 for text, _ in vocab.added)
     return (
-        encoded.join(F.broadcast(added), "chunk", "left")
+        encoded.join(hinted(added, len(vocab.added), size), "chunk", "left")
         .withColumn("state", F.coalesce("whole", "state"))
         .drop("whole")
     )

@@ -34,8 +34,8 @@ LITERAL_MERGES = 256
 LITERAL_TOKENS = 4096
 # How many characters of a long span are looked up before the whole span is.
 HEAD = 4
-# Added tokens become alternatives of one regular expression.
-MAX_ADDED_TOKENS = 10_000
+# Up to this many added tokens are applied as literals where a text stands.
+LITERAL_ADDED = 256
 
 
 @dataclass(frozen=True)
@@ -104,8 +104,6 @@ def build_vocabulary(
     )
     resolved = merge_order(resolve_merges(spelled, lookup))
 
-    if len(added) > MAX_ADDED_TOKENS:
-        raise ValueError(f"more than {MAX_ADDED_TOKENS} added tokens")
     # At most 256 rows, one per byte value.
     known = {r["byte"]: r["id"] for r in byte_tokens(table).collect()}
     largest = table.agg(F.max("id")).first()[0]
@@ -136,7 +134,7 @@ def build_vocabulary(
         F.coalesce(F.bool_and("in_order"), F.lit(True)).alias("in_order"),
     ).first()
     literal = None
-    if facts["in_order"] and facts["n"] <= LITERAL_MERGES:
+    if facts["in_order"] and facts["n"] <= LITERAL_MERGES and len(added) <= LITERAL_ADDED:
         ranked = ready.orderBy("rank").select("pattern", "result").collect()
         literal = tuple((r["pattern"], r["result"]) for r in ranked)
     literal_tokens = None
@@ -206,8 +204,8 @@ def load_vocabulary(spark: SparkSession, path: str, pattern: str | None = None)
     if pattern is None:
         pattern = f"(?U){found[0]['pattern']}" if found[0]["pattern"] else DEFAULT_PATTERN
     tokens = tokens_from_json(parsed)
-    # One more than allowed, so that `build_vocabulary` sees a list that is too long.
-    special = tokens.where(F.col("source_type") == 3).select("token", "id").take(MAX_ADDED_TOKENS + 1)
+    # A part of one vocabulary, which has at most as many ids as there are characters.
+    special = tokens.where(F.col("source_type") == 3).select("token", "id").collect()
     added = sorted((r["token"], r["id"]) for r in special)
     return build_vocabulary(tokens, merges_from_arrays(parsed), pattern, added)
 
