@@ -416,3 +416,21 @@ def test_similar_documents_by_bands(spark, documents):
     assert all(brute.jaccard(sets[a], sets[b]) >= 0.75 for a, b in pairs)
     for n in range(5):
         assert any(1000 + n in p for p in pairs) or not sets[1000 + n]
+
+
+def test_similar_documents_of_one_template(spark):
+    """Sixty documents on one template, 0.7 alike and so no pairs, and thirty that are 0.77 alike with one of them."""
+    rng = random.Random(12)
+
+    def words(n):
+        return [f"w{rng.randrange(10**9)}" for _ in range(n)]
+
+    template = words(280)
+    first = [template + words(60) for _ in range(60)]
+    second = [d[:-22] + words(22) for d in first[30:]]
+    rows = [(n, " ".join(d)) for n, d in enumerate(first + second)]
+    rows += [(200, None), (201, ""), (202, rows[0][1]), (None, rows[0][1])]
+    links = {(r.a, r.b) for r in fingerprints.similar_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    sets = {i: brute.shingles(t or "") for i, t in rows if i is not None}
+    close = {(a, b) for a in sets for b in sets if a < b and sets[a] and sets[b] and brute.jaccard(sets[a], sets[b]) >= 0.75}
+    assert links == close and len(close) == 31

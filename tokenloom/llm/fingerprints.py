@@ -12,6 +12,9 @@ travels more than once (but for one more per range).
 ``similar_documents`` joins fingerprints by bands: documents that agree in a band meet
 the smallest id of that bucket, and the pair counts if the Jaccard similarity of the
 full sets is high enough. A bucket of n documents makes n - 1 pairs, not all of them.
+Where that leaves the members of a bucket in several groups, as documents of one template
+are, similar ones may stand behind a smaller unlike one. All members of such buckets go
+through the exact prefix filter over full sets (``near``), which compares across groups.
 
 Nulls and odd input: a null text is empty. A text without words has the empty
 fingerprint, which is like another such text (1) and unlike any other (0). A text of
@@ -33,7 +36,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from tokenloom.llm.arrow import Texts, map_texts, quoted, slices
-from tokenloom.llm.near import confirmed, full_sets
+from tokenloom.llm.components import components
+from tokenloom.llm.lookup import find
+from tokenloom.llm.near import across_families, confirmed, full_sets, in_groups
 from tokenloom.llm.words import shingles
 from tokenloom.plans.workspace import written
 
@@ -191,11 +196,24 @@ def banded(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
 
 
 def similar_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """a, b: documents whose sets are similar enough, each with the smallest id of a bucket they share."""
+    """a, b: links between documents whose sets are similar enough.
+
+    All are true, and documents that share a band and are similar are connected by them.
+    """
     bands = written(banded(docs, key, text).where("id IS NOT NULL"), "bands")
     entries = bands.select("id", F.posexplode("bands").alias("band", "value"))
     leaders = entries.groupBy("band", "value").agg(F.min("id").alias("leader"), F.count("*").alias("n")).where("n > 1")
-    pairs = entries.join(leaders, ["band", "value"]).where("id <> leader")
-    pairs = written(pairs.select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct(), "pairs")
-    ends = pairs.select(F.col("a").alias("rep")).union(pairs.select(F.col("b").alias("rep"))).distinct()
-    return confirmed(pairs, written(full_sets(docs, written(ends, "ends"), key, text), "sets"))
+    met = find(entries, written(leaders, "leaders"), ["band", "value"], "n", "leader").where("leader IS NOT NULL")
+    met = written(met, "buckets")
+    pairs = met.where("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
+    sets = written(full_sets(docs, written(met.select(F.col("id").alias("rep")).distinct(), "ends"), key, text), "sets")
+    found = written(confirmed(pairs, sets), "confirmed")
+
+    groups = written(components(found), "groups")
+    members = written(in_groups(met, groups, "id", "group"), "bucket-groups")
+    spans = members.groupBy("band", "value").agg(F.min("group").alias("first"), F.max("group").alias("last"), F.count("*").alias("n"))
+    mixed = written(spans.where("first <> last").select("band", "value", "n", F.lit(True).alias("mixed")), "mixed-buckets")
+    behind = find(members, mixed, ["band", "value"], "n", "mixed").where("mixed")
+    families = behind.select(F.col("id").alias("rep"), F.col("group").alias("family")).distinct()
+    more = confirmed(across_families(written(families, "families"), sets, groups), sets)
+    return found.union(more)

@@ -120,7 +120,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return sized.where(100 * F.col("both") >= SIMILAR * (F.col("sum") - F.col("both"))).select("a", "b").distinct()
 
 
-def _in_groups(nodes: DataFrame, groups: DataFrame, node: str, name: str) -> DataFrame:
+def in_groups(nodes: DataFrame, groups: DataFrame, node: str, name: str) -> DataFrame:
     """``nodes`` with the group of the column ``node``; a node without links is its own."""
     found = groups.select(F.col("node").alias(node), F.col("component").alias("_group"))
     return nodes.join(found, node, "left").withColumn(name, F.coalesce("_group", node)).drop("_group")
@@ -128,7 +128,7 @@ def _in_groups(nodes: DataFrame, groups: DataFrame, node: str, name: str) -> Dat
 
 def _across(pairs: DataFrame, groups: DataFrame) -> DataFrame:
     """The pairs of nodes of different groups."""
-    marked = _in_groups(_in_groups(pairs, groups, "a", "group_a"), groups, "b", "group_b")
+    marked = in_groups(in_groups(pairs, groups, "a", "group_a"), groups, "b", "group_b")
     return marked.where("group_a <> group_b").select("a", "b")
 
 
@@ -215,7 +215,7 @@ def _within_families(differences: DataFrame, hubs: DataFrame, groups: DataFrame)
     (|Y| + (room - |y|) / 7) / 2 of Y must be in X: the first shared one, rarest first,
     stands in Y's other half.
     """
-    placed = _in_groups(_in_groups(hubs, groups, "rep", "group"), groups, "hub", "home")
+    placed = in_groups(in_groups(hubs, groups, "rep", "group"), groups, "hub", "home")
     elements = placed.join(differences.select("rep", "diff"), "rep")
     elements = elements.select("rep", "n", "m", "room", "family", "group", "home", F.explode("diff").alias("value"))
     shared = written(elements.groupBy("family", "value").agg(F.count("*").alias("df")).where("df > 1"), "shared-differences")
@@ -248,7 +248,7 @@ def _rarest_first(families: DataFrame, sets: DataFrame, groups: DataFrame) -> Da
     ``pos`` counts from 1. Shingles of one document alone are counted and left out.
     """
     full = families.join(sets, "rep")
-    full = _in_groups(full.select("rep", "family", F.size("set").alias("n"), "set"), groups, "rep", "group")
+    full = in_groups(full.select("rep", "family", F.size("set").alias("n"), "set"), groups, "rep", "group")
     entries = full.select("rep", "n", "group", "family", F.explode("set").alias("value"))
     shared = written(entries.groupBy("value").agg(F.count("*").alias("df")).where("df > 1"), "shared-shingles")
     found = find(entries, shared.withColumn("weight", F.col("df")), ["value"], "weight", "df")
@@ -256,7 +256,7 @@ def _rarest_first(families: DataFrame, sets: DataFrame, groups: DataFrame) -> Da
     return found.withColumn("pos", F.row_number().over(rarity)).where("df IS NOT NULL")
 
 
-def _across_families(families: DataFrame, sets: DataFrame, groups: DataFrame) -> DataFrame:
+def across_families(families: DataFrame, sets: DataFrame, groups: DataFrame) -> DataFrame:
     """Candidate pairs of different families and groups among the documents that may meet in long lists only.
 
     Exact prefix filter over full sets in order of rarity: with s <= l the sizes of a
@@ -361,7 +361,7 @@ def near_links(docs: DataFrame, reps: DataFrame, key: str = "doc_id", text: str
     groups = written(components(links), "groups")
 
     rest = _across(estimated, groups).join(first, ["a", "b"], "left_anti")
-    within, across = _within_families(differences, hubs, groups), _across_families(families, sets, groups)
+    within, across = _within_families(differences, hubs, groups), across_families(families, sets, groups)
     rest = rest.union(_estimated(within.union(across), reps).select("a", "b")).distinct()
     more = written(confirmed(rest, sets), "confirmed")
     return components(links.union(more))
@@ -374,7 +374,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     reps = classed.agg(F.min("id").alias("rep"), F.count("*").alias("copies"), F.first("sketch").alias("sketch"))
     reps = written(reps, "classes")
     groups = near_links(docs, reps, key, text)
-    joined = _in_groups(reps.select("n_shingles", "s1", "s2", "rep", "copies"), groups, "rep", "component_id")
+    joined = in_groups(reps.select("n_shingles", "s1", "s2", "rep", "copies"), groups, "rep", "component_id")
     moved = written(joined.where("copies > 1 OR component_id <> rep"), "moved")
     rows = table.where("id IS NOT NULL").select("id", "n_shingles", "s1", "s2")
     found = find(rows, moved, ["n_shingles", "s1", "s2"], "copies", "component_id")
