@@ -309,11 +309,20 @@ def test_chunk_missing_from_dictionary_is_not_ok(spark):
     assert rows[1]["ids"] == []
 
 
-def test_repeated_key_fails(spark):
-    vocab = dataclasses.replace(vocabulary_64(spark), literal_merges=None)
-    rows = spark.createDataFrame([(1, "the"), (1, "an")], "doc_id long, text string")
-    with pytest.raises(Exception, match="not unique"):
-        tokenize(rows, vocab).collect()
+@pytest.mark.parametrize("plan", ["literal", "sweep", "search"])
+def test_rows_of_one_key(spark, plan):
+    """Every row counts, whether or not another has its key, on every plan and on the way back."""
+    vocab = variants(vocabulary_64(spark))[plan]
+    texts = ["the", "an", "the", "", None, "the and the", None]
+    rows = [(key, text, n) for key in (1, None) for n, text in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n int")
+    want = sorted(((k, n, list(plain_ids([t or ""])[0]), t is not None) for k, t, n in rows), key=str)
+    with_n = tokenize(docs, vocab, keep=["n"])
+    assert sorted(((r.doc_id, r.n, r.ids, r.ok) for r in with_n.collect()), key=str) == want
+    found = tokenize(docs, vocab)
+    assert sorted(((r.doc_id, r.ids, r.ok) for r in found.collect()), key=str) == sorted(((k, i, ok) for k, _, i, ok in want), key=str)
+    back = detokenize(found, dataclasses.replace(vocab, literal_tokens=None))
+    assert sorted(((r.doc_id, r.text) for r in back.collect()), key=str) == sorted(((k, t or "") for k, t, _ in rows), key=str)
 
 
 @pytest.mark.parametrize("plan", ["literal", "sweep"])

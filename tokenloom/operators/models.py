@@ -19,7 +19,7 @@ from tokenloom.functions.codes import MAX_ID, char_of_id, id_char
 from tokenloom.functions.ids import with_bos
 from tokenloom.operators.dictionary import measured, with_codes
 from tokenloom.operators.encode import encode_chunks
-from tokenloom.operators.tokens import gathered
+from tokenloom.operators.tokens import MARKS, gathered, marks, repeated
 from tokenloom.operators.vocab_tables import byte_tokens, first_ids, merge_order, resolve_merges, token_table
 from tokenloom.operators.vocabulary import span_heads
 from tokenloom.plans.sizes import hinted
@@ -206,7 +206,7 @@ def _named(chunk: Column) -> Column:
 
 
 def tokenize_by_model(corpus: DataFrame, models: Models, key: Sequence[str] = ("doc_id",)) -> DataFrame:
-    """(key.., model_name, ids, n_tokens, ok) of every row of ``corpus`` (key.., model_name, text); ``key`` must be unique.
+    """(key.., model_name, ids, n_tokens, ok) of every row of ``corpus`` (key.., model_name, text); rows of one key are rows of their own.
 
     A null text, and a row whose model is unknown or cannot be used, has no ids and ``ok`` false.
     """
@@ -214,7 +214,8 @@ def tokenize_by_model(corpus: DataFrame, models: Models, key: Sequence[str] = ("
     marked = corpus.join(facts, MODEL, "left")
     usable = F.col("error").isNull() & F.col("pattern").isNotNull()
     marked = marked.withColumn("given", usable & F.col("text").isNotNull())
-    rows = marked.select(*key, MODEL, "given", F.posexplode_outer(F.when(F.col("given"), _chunks(F.col("text")))).alias("pos", "chunk"))
+    marked = marked.withColumns(marks(F.col("text")))
+    rows = marked.select(*key, MODEL, *MARKS, "given", F.posexplode_outer(F.when(F.col("given"), _chunks(F.col("text")))).alias("pos", "chunk"))
 
     counted = rows.where("chunk IS NOT NULL").groupBy(MODEL, "chunk").agg(F.count("*").alias("n"))
     encoded = encode_chunks(counted, models)
@@ -224,6 +225,7 @@ def tokenize_by_model(corpus: DataFrame, models: Models, key: Sequence[str] = ("
     dictionary = measured(written(named, "model-dictionary"))
 
     coded = with_codes(rows.withColumn("chunk", _named(F.col("chunk"))), dictionary, ["state"])
-    tokens = gathered(coded, [*key, MODEL]).join(models.hinted_facts("bos_id", "add_bos"), MODEL, "left")
+    whole = repeated(gathered(coded, [*key, MODEL]), [*key, MODEL, "ids", "ok"])
+    tokens = whole.join(models.hinted_facts("bos_id", "add_bos"), MODEL, "left")
     ids = F.when(F.col("ok"), with_bos(F.col("ids"), F.col("bos_id"), F.col("add_bos"))).otherwise(F.col("ids"))
     return tokens.select(*key, MODEL, ids.alias("ids"), F.size(ids).alias("n_tokens"), "ok")

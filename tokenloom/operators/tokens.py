@@ -27,7 +27,7 @@ def tokenize(
     dictionary: Dictionary | None = None,
     keep: Sequence[str] = (),
 ) -> DataFrame:
-    """(key.., keep.., ids, n_tokens, ok) of every row; ``key`` must be unique.
+    """(key.., keep.., ids, n_tokens, ok) of every row; rows of one key are rows of their own.
 
     A text that could not be encoded, because it is null or has a chunk the
     given dictionary lacks, has no ids and ``ok`` false.
@@ -39,15 +39,15 @@ def tokenize(
     if dictionary is None and vocab.literal_merges is not None:
         return encode_inline(corpus, vocab, [*key, *keep])
     dictionary = dictionary or build_dictionary(corpus, vocab)
-    given = corpus.withColumn("given", F.col("text").isNotNull())
-    rows = occurrences(given, [*key, "given"], vocab, keep_blank=True)
+    given = corpus.withColumn("given", F.col("text").isNotNull()).withColumns(marks(F.col("text")))
+    rows = occurrences(given, [*key, *MARKS, "given"], vocab, keep_blank=True)
     tokens = gathered(with_codes(rows, dictionary, ["state"]), key)
     if not keep:
-        return tokens
+        return repeated(tokens, [*key, "ids", "n_tokens", "ok"])
     # Null keys are keys too.
-    same = [F.col(f"c.{name}").eqNullSafe(F.col(f"t.{name}")) for name in key]
-    joined = corpus.select(*key, *keep).alias("c").join(tokens.alias("t"), same)
-    return joined.select("c.*", "ids", "n_tokens", "ok")
+    same = [F.col(f"c.{name}").eqNullSafe(F.col(f"t.{name}")) for name in [*key, *MARKS]]
+    joined = given.select(*key, *keep, *MARKS).alias("c").join(tokens.alias("t"), same)
+    return joined.select(*(f"c.{name}" for name in [*key, *keep]), "ids", "n_tokens", "ok")
 
 
 def encode_inline(corpus: DataFrame, vocab: Vocabulary, key: Sequence[str] = ("doc_id",)) -> DataFrame:
@@ -65,20 +65,39 @@ def _with_ids(rows: DataFrame, key: Sequence[str]) -> DataFrame:
     )
 
 
-def in_order(part: Column, name: str = "pos") -> Column:
-    """Parts of one key in order. Fails the job where two rows share a key and a position."""
-    position = F.col(name)
+# A 64-bit hash of what a row holds: it tells rows of one key apart, however often the rows are read.
+MARKS = ("_content",)
+
+
+def marks(content: Column) -> dict[str, Column]:
+    return {"_content": F.xxhash64(content)}
+
+
+def parts_in_order(part: Column) -> Column:
+    """Parts of a row by the column ``pos``. Equal rows of one key have equal parts, each taken once."""
+    position = F.col("pos")
     parts = F.sort_array(F.collect_list(F.when(position.isNotNull(), F.struct(position, part))))
-    unique = F.count("*") == F.coalesce(F.max(position), F.lit(0)) + 1
-    return F.when(unique, parts).otherwise(F.raise_error(F.lit("the key is not unique")))
+    return F.when(copies() > 1, F.array_distinct(parts)).otherwise(parts)
+
+
+def copies() -> Column:
+    """How many equal rows were gathered into one."""
+    return F.count_if(F.coalesce(F.col("pos"), F.lit(0)) == 0)
+
+
+def repeated(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Each row as often as its ``copies`` say."""
+    return rows.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies")))).select(*columns)
 
 
 def gathered(pieces: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Put (key.., given, pos, chunk, state) rows together in order, one row per key."""
+    """Put (key.., ``MARKS``, given, pos, chunk, state) rows together in order: one row for equal rows of one key, with ``copies``."""
     known = F.col("given") & (F.col("state").isNotNull() | F.col("chunk").isNull())
-    whole = pieces.groupBy(*key).agg(in_order(F.col("state")).alias("parts"), F.bool_and(known).alias("ok"))
+    whole = pieces.groupBy(*key, *MARKS).agg(
+        parts_in_order(F.col("state")).alias("parts"), F.bool_and(known).alias("ok"), copies().alias("copies")
+    )
     state = F.when(F.col("ok"), F.array_join("parts.state", "")).otherwise(F.lit(""))
-    return _with_ids(whole.select(*key, state.alias("state"), "ok"), key)
+    return _with_ids(whole.select(*key, *MARKS, "copies", state.alias("state"), "ok"), [*key, *MARKS, "copies"])
 
 
 def token_counts(
@@ -167,14 +186,15 @@ def detokenize(tokens: DataFrame, vocab: Vocabulary, key: Sequence[str] = ("doc_
     """
     if vocab.literal_tokens is not None:
         return tokens.select(*key, _read_inline(F.col("ids"), vocab.literal_tokens).alias("text"))
-    rows = tokens.select(*key, F.posexplode_outer("ids").alias("pos", "id"))
+    marked = tokens.withColumns(marks(F.col("ids")))
+    rows = marked.select(*key, *MARKS, F.posexplode_outer("ids").alias("pos", "id"))
     lookup = vocab.tokens.select("id", "tok_hex", F.lit(True).alias("known"))
-    # A vocabulary holds no more ids than `functions.codes` has characters.
-    n_tokens = vocab.n_merges + 256 + len(vocab.added)
-    joined = rows.join(hinted(lookup, n_tokens, 4 * vocab.span_bytes), "id", "left")
-    whole = joined.groupBy(*key).agg(
-        in_order(F.col("tok_hex")).alias("parts"),
+    size = lookup.agg(F.count("*").alias("rows"), F.coalesce(F.sum(F.octet_length("tok_hex") + 32), F.lit(0)).alias("bytes")).first()
+    joined = rows.join(hinted(lookup, size["rows"], size["bytes"]), "id", "left")
+    whole = joined.groupBy(*key, *MARKS).agg(
+        parts_in_order(F.col("tok_hex")).alias("parts"),
         F.bool_and(F.col("known").isNotNull() | F.col("pos").isNull()).alias("known"),
+        copies().alias("copies"),
     )
     text = _text(F.array_join("parts.tok_hex", ""))
-    return whole.select(*key, F.when(F.col("known"), text).alias("text"))
+    return repeated(whole.withColumn("text", F.when(F.col("known"), text)), [*key, "text"])
