@@ -8,9 +8,9 @@ import re
 from pyspark.sql import functions as F
 
 from tokenloom.fixtures import vocabulary_64
-from tokenloom.operators.dictionary import build_dictionary, count_chunks, with_codes
+from tokenloom.operators.dictionary import build_dictionary, count_chunks, occurrences, with_codes
 from tokenloom.operators.encode import candidate_sweep
-from tokenloom.operators.tokens import encode_inline, token_counts, tokenize
+from tokenloom.operators.tokens import detokenize, encode_inline, put_together, run_joiner, token_counts, tokenize
 from tokenloom.plans.parallel import spread
 from tokenloom.plans.sizes import BROADCAST_ROWS, hinted
 from tokenloom.sources.corpus import read_corpus
@@ -125,3 +125,36 @@ def test_spread_leaves_well_split_inputs_alone(spark):
     many = spark.range(0, 1_000, numPartitions=spark.sparkContext.defaultParallelism)
     assert shuffles(spread(many)) == []
     assert len(shuffles(spread(spark.range(0, 1_000, numPartitions=1)))) == 1
+
+
+def test_about_one_row_a_document_is_gathered(spark):
+    """What is shuffled to gather ids, and to gather text from ids, grows with the documents, not with their chunks."""
+    docs = spark.read.parquet(DOCUMENTS).select("doc_id", "text").repartition(3)
+    vocab = dataclasses.replace(large(spark), literal_tokens=None)
+    tokens = tokenize(docs, vocab, dictionary=build_dictionary(docs, vocab))
+    for result in (tokens, detokenize(tokens, vocab)):
+        result.collect()
+        final = result._jdf.queryExecution().executedPlan().finalPhysicalPlan()
+        assert "ArrowEvalPython" in final.toString()
+    rows = occurrences(docs, ["doc_id"], vocab).withColumn("_content", F.lit(0)).withColumn("known", F.lit(True))
+    runs = rows.select("doc_id", "pos", run_joiner()(F.xxhash64("doc_id"), "pos", "chunk").alias("run")).where("run IS NOT NULL")
+    # A batch has 10,000 rows, so each ends one run more.
+    assert runs.count() <= docs.count() + rows.count() / 10_000 + 3
+    joined = put_together(rows, ["doc_id"], F.col("chunk"), F.col("known"))
+    assert joined.join(docs.withColumnRenamed("text", "whole"), "doc_id").where("text <> whole").count() == 0
+
+
+def test_rows_of_one_key_are_cut_anywhere(spark):
+    """Equal rows of one key whose runs end at different places, and rows that come in no order."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        text = " ".join(f"word{i}" for i in range(50))
+        docs = spark.createDataFrame([(1, text)] * 3 + [(1, "other text"), (1, None), (2, ""), (2, "")], "doc_id long, text string").repartition(2)
+        vocab = large(spark)
+        tokens = tokenize(docs, vocab)
+        want = sorted(map(str, tokenize(docs, vocabulary_64(spark)).collect()))
+        assert sorted(map(str, tokens.collect())) == want
+        small = dataclasses.replace(build_dictionary(docs, vocab), broadcast_rows=3)
+        assert sorted(map(str, tokenize(docs, vocab, dictionary=small).collect())) == want
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")

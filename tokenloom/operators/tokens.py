@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +19,7 @@ from tokenloom.operators.dictionary import (
 )
 from tokenloom.operators.encode import encode_chunks, text_state
 from tokenloom.operators.vocabulary import Vocabulary
+from tokenloom.plans.parallel import lies_together
 from tokenloom.plans.sizes import hinted
 
 
@@ -73,11 +76,66 @@ def marks(content: Column) -> dict[str, Column]:
     return {"_content": F.xxhash64(content)}
 
 
-def parts_in_order(part: Column) -> Column:
-    """Parts of a row by the column ``pos``. Equal rows of one key have equal parts, each taken once."""
-    position = F.col("pos")
-    parts = F.sort_array(F.collect_list(F.when(position.isNotNull(), F.struct(position, part))))
-    return F.when(copies() > 1, F.array_distinct(parts)).otherwise(parts)
+RUN = "struct<n: int, text: string>"
+
+
+def run_joiner():
+    """A function that joins the texts of consecutive positions of a row where they stand.
+
+    The first row of a run gets the number of its rows and their text, the others null. Runs
+    end with a batch at the latest; rows in another order only give more runs. The text of a
+    run already lies in one piece, so only its bounds are computed.
+
+    It is made here so that it travels with the task: executors need not have this package.
+    """
+
+    def join(mark: pa.Array, pos: pa.Array, text: pa.Array) -> pa.Array:
+        size = len(text)
+        given = (pos.is_valid().to_numpy(zero_copy_only=False)) & (text.is_valid().to_numpy(zero_copy_only=False))
+        marks, places, text = mark.to_numpy(zero_copy_only=False), pos.fill_null(0).to_numpy(zero_copy_only=False), text.fill_null("")
+        first = np.ones(size, bool)
+        first[1:] = ~(given[1:] & given[:-1] & (marks[1:] == marks[:-1]) & (places[1:] == places[:-1] + 1))
+        ends = np.append(np.flatnonzero(first), size)
+        offsets = np.zeros(1, np.int32)
+        if size:
+            offsets = np.frombuffer(text.buffers()[1], np.int32)[text.offset : text.offset + size + 1]
+        bounds = offsets[ends[np.searchsorted(ends, np.arange(size + 1))]]
+        joined = pa.StringArray.from_buffers(size, pa.py_buffer(bounds.tobytes()), text.buffers()[2] or pa.py_buffer(b""))
+        counts = np.zeros(size, np.int32)
+        counts[ends[:-1]] = np.diff(ends)
+        return pa.StructArray.from_arrays([pa.array(counts), joined], names=["n", "text"], mask=pa.array(~(first & given)))
+
+    # What ends a run depends on the batches.
+    return F.arrow_udf(join, RUN).asNondeterministic()
+
+
+def put_together(pieces: DataFrame, key: Sequence[str], text: Column, known: Column) -> DataFrame:
+    """(key.., ``MARKS``, text, ok, copies): the texts of (key.., ``MARKS``, pos) rows in order, one row for equal rows of one key.
+
+    Runs of positions are joined in each task, so about one row for each row of the corpus
+    is sorted and shuffled, not one for each position. ``ok`` tells whether all positions
+    are known.
+    """
+    named = pieces.select(*key, *MARKS, "pos", text.alias("text"), known.alias("known"), F.xxhash64(*key, *MARKS).alias("mark"))
+    # Python hides how rows lie; where they need no shuffle, each position is a run of its own.
+    alone = F.when(F.col("pos").isNotNull() & F.col("text").isNotNull(), F.struct(F.lit(1).alias("n"), "text"))
+    joined = alone if lies_together(named, [*key, *MARKS]) else run_joiner()("mark", "pos", "text")
+    runs = named.select(*key, *MARKS, "pos", "known", joined.alias("run"))
+    runs = runs.where("run IS NOT NULL OR pos IS NULL OR NOT known")
+    run = F.struct("pos", F.col("run.n").alias("n"), F.col("run.text").alias("text"))
+    whole = runs.groupBy(*key, *MARKS).agg(
+        F.sort_array(F.collect_list(F.when(F.col("run").isNotNull(), run))).alias("runs"), F.bool_and("known").alias("ok"), copies().alias("copies")
+    )
+    nothing = F.struct(F.lit(0).alias("next"), F.array().cast("array<string>").alias("texts"))
+
+    def follow(read: Column, r: Column) -> Column:
+        longer = F.struct((r["pos"] + r["n"]).alias("next"), F.concat(read["texts"], F.array(r["text"])).alias("texts"))
+        return F.when(r["pos"] == read["next"], longer).otherwise(read)
+
+    # Runs of equal rows of one key may be cut at different positions; one way from start to end is followed.
+    once = F.aggregate("runs", nothing, follow)["texts"]
+    texts = F.when(F.col("copies") > 1, once).otherwise(F.col("runs.text"))
+    return whole.select(*key, *MARKS, F.array_join(texts, "").alias("text"), "ok", "copies")
 
 
 def copies() -> Column:
@@ -93,10 +151,8 @@ def repeated(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
 def gathered(pieces: DataFrame, key: Sequence[str]) -> DataFrame:
     """Put (key.., ``MARKS``, given, pos, chunk, state) rows together in order: one row for equal rows of one key, with ``copies``."""
     known = F.col("given") & (F.col("state").isNotNull() | F.col("chunk").isNull())
-    whole = pieces.groupBy(*key, *MARKS).agg(
-        parts_in_order(F.col("state")).alias("parts"), F.bool_and(known).alias("ok"), copies().alias("copies")
-    )
-    state = F.when(F.col("ok"), F.array_join("parts.state", "")).otherwise(F.lit(""))
+    whole = put_together(pieces, key, F.col("state"), known)
+    state = F.when(F.col("ok"), F.col("text")).otherwise(F.lit(""))
     return _with_ids(whole.select(*key, *MARKS, "copies", state.alias("state"), "ok"), [*key, *MARKS, "copies"])
 
 
@@ -191,10 +247,5 @@ def detokenize(tokens: DataFrame, vocab: Vocabulary, key: Sequence[str] = ("doc_
     lookup = vocab.tokens.select("id", "tok_hex", F.lit(True).alias("known"))
     size = lookup.agg(F.count("*").alias("rows"), F.coalesce(F.sum(F.octet_length("tok_hex") + 32), F.lit(0)).alias("bytes")).first()
     joined = rows.join(hinted(lookup, size["rows"], size["bytes"]), "id", "left")
-    whole = joined.groupBy(*key, *MARKS).agg(
-        parts_in_order(F.col("tok_hex")).alias("parts"),
-        F.bool_and(F.col("known").isNotNull() | F.col("pos").isNull()).alias("known"),
-        copies().alias("copies"),
-    )
-    text = _text(F.array_join("parts.tok_hex", ""))
-    return repeated(whole.withColumn("text", F.when(F.col("known"), text)), [*key, "text"])
+    whole = put_together(joined, key, F.col("tok_hex"), F.col("known").isNotNull() | F.col("pos").isNull())
+    return repeated(whole.withColumn("text", F.when(F.col("ok"), _text(F.col("text")))), [*key, "text"])

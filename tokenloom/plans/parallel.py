@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 
 
@@ -19,3 +22,12 @@ def spread(df: DataFrame) -> DataFrame:
     """
     partitions = wanted_partitions(df)
     return df.repartition(partitions) if partitions else df
+
+
+def lies_together(df: DataFrame, key: Sequence[str]) -> bool:
+    """Whether rows of one key lie in one task already, as those of a table bucketed by key do.
+
+    It is read from the plan of a grouping, and only a plan is chosen by it.
+    """
+    grouped = df.groupBy(*key).count()._jdf.queryExecution().executedPlan().toString()
+    return not re.search(r"(?<!Broadcast)Exchange ", grouped)
