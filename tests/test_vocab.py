@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -35,6 +37,7 @@ from tokenloom.sources.vocab import (
     select_metadata,
     split_merge,
     tokens_from_arrays,
+    tokens_from_json,
     typed_tokens_from_arrays,
     with_attributes,
 )
@@ -194,3 +197,24 @@ def test_malformed_tokenizer_json(spark):
 def test_pattern_spelling(spark):
     rows = spark.createDataFrame([(SPELLED_OUT_CONTRACTIONS + "| x",), ("other",)], "p string")
     assert [r[0] for r in rows.select(normalize_pattern(F.col("p"))).collect()] == [INLINE_CONTRACTIONS + "| x", "other"]
+
+
+def test_tokens_of_json_files_are_read_in_place(spark):
+    """No shuffle, and no text parsed twice; a model of several rows gives each id once."""
+
+    def file(name, vocab, added):
+        return (name, json.dumps({"model": {"type": "BPE", "vocab": vocab, "merges": []}, "added_tokens": added}))
+
+    end = {"id": 1, "content": "<end>", "special": True}
+    rows = [file("a", {"x": 0, "y": 1, "": 2}, [end]), file(None, {"z": 5}, []), file("empty", {}, [])]
+    files = spark.createDataFrame(rows, "model string, value string")
+    tokens = tokens_from_json(parse_tokenizer_json(files, ["model"]), ["model"])
+    text = tokens._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("Aggregate") == 0 and text.count("from_json(") <= 1
+    want = {("a", 0, "x", 1), ("a", 1, "<end>", 3), ("a", 2, "[EMPTY_2]", 1), (None, 5, "z", 1)}
+    got = [(r.model, r.id, r.token, r.source_type) for r in tokens.collect()]
+    assert len(got) == len(want) and set(got) == want
+
+    twice = files.union(files).union(spark.createDataFrame([file("a", {"y": 1, "w": 7}, [])], files.schema))
+    got = [(r.model, r.id, r.token, r.source_type) for r in tokens_from_json(parse_tokenizer_json(twice, ["model"]), ["model"]).collect()]
+    assert len(got) == 5 and set(got) == want | {("a", 7, "w", 1)}

@@ -229,26 +229,55 @@ def tokens_from_json(parsed: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Rows (by.., id, token, source_type, score) of parsed tokenizer.json models.
 
     Added tokens get the source type of control tokens, whether or not the
-    vocabulary map lists them as well.
+    vocabulary map lists them as well. Each file is read in place, and its text once; only
+    rows of a model that has several are shuffled.
     """
-    plain = parsed.select(*by, F.explode("vocab").alias("token", "id"))
-    added = parsed.select(*by, F.explode("added_tokens").alias("a")).select(
-        *by, F.col("a.content").alias("token"), F.col("a.id").alias("id")
+    plain = F.transform(
+        F.map_entries("vocab"), lambda e: F.struct(e["value"].alias("id"), F.lit(False).alias("is_added"), e["key"].alias("token"))
     )
-    rows = plain.withColumn("is_added", F.lit(False)).unionByName(added.withColumn("is_added", F.lit(True)))
-    return (
-        rows.groupBy(*by, "id")
-        .agg(F.max_by("token", "is_added").alias("token"), F.max("is_added").alias("is_added"))
-        .select(
-            *by,
-            "id",
-            named_empty(F.col("token"), F.col("id")).alias("token"),
-            F.when(F.col("is_added"), 3).otherwise(1).alias("source_type"),
-            F.lit(None).cast("float").alias("score"),
-        )
+    added = F.transform(
+        "added_tokens", lambda a: F.struct(a["id"].alias("id"), F.lit(True).alias("is_added"), a["content"].alias("token"))
+    )
+    none = F.array().cast("array<struct<id: int, is_added: boolean, token: string>>")
+    listed = F.sort_array(F.concat(F.coalesce(plain, none), F.coalesce(added, none)))
+    models = parsed.select(*by, listed.alias("listed"))
+    # Of one id the last entry is an added token, if one has it.
+    last = F.filter("listed", lambda e, i: ~F.coalesce(F.get("listed", i + 1)["id"].eqNullSafe(e["id"]) & (i + 1 < F.size("listed")), F.lit(False)))
+    models = models.select(*by, last.alias("listed"))
+    repeated = parsed.groupBy(*by).count().where("count > 1").drop("count")
+    if repeated.isEmpty():
+        rows = _listed(models, by)
+    else:
+        # Several rows of one model are put together, so that each of its ids comes once.
+        same = F.lit(True)
+        for name in by:
+            same &= F.col(f"m.`{name}`").eqNullSafe(F.col(f"r.`{name}`"))
+        if by:
+            once = models.alias("m").join(repeated.alias("r"), same, "left_anti")
+            several = models.alias("m").join(repeated.alias("r"), same, "left_semi")
+        else:
+            once, several = models.limit(0), models
+        merged = _listed(several, by).groupBy(*by, "id").agg(F.max_by("token", "is_added").alias("token"), F.max("is_added").alias("is_added"))
+        rows = _listed(once, by).unionByName(merged)
+    return rows.select(
+        *by,
+        "id",
+        named_empty(F.col("token"), F.col("id")).alias("token"),
+        F.when(F.col("is_added"), 3).otherwise(1).alias("source_type"),
+        F.lit(None).cast("float").alias("score"),
     )
 
 
+def _listed(models: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Rows (by.., id, token, is_added) of the entries in ``listed``.
+
+    An outer explode: for an inner one Spark tests the array below it as well, and so
+    parses each text once more.
+    """
+    rows = models.select(*by, F.explode_outer("listed").alias("e")).where("e IS NOT NULL")
+    return rows.select(*by, "e.id", "e.token", "e.is_added")
+
+
 def read_tokenizer_json(spark: SparkSession, path: str) -> DataFrame:
     """tokenizer.json files, one model per file, named by ``model_path``."""
     files = spark.read.text(path, wholetext=True).select(
