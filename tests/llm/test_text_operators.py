@@ -193,6 +193,18 @@ def jensen_shannon(p, q):
     return np.sqrt(max(0.0, (part(p) + part(q)) / 2))
 
 
+def test_quality_references_cover_every_labelled_document(spark):
+    texts = [f"word{n % 7} ist " + "!" * (n % 5) for n in range(2500)]
+    docs = spark.createDataFrame([(n, t, "xo") for n, t in enumerate(texts)], "doc_id long, text string, lang string")
+    references = quality.fit_references(docs, docs.selectExpr("doc_id", "1 AS quality"))
+    counts = Counter(w[:-1] if len(w) > 1 and w[-1] == "!" else w for t in texts for w in t.split())
+    want = sorted(c / sum(counts.values()) for c in counts.values())
+    assert sorted(references.words[0, :-1]) == pytest.approx(want, abs=1e-12)
+    marks = sum(t.count("!") for t in texts)
+    kinds = Counter(k for t in texts for k in (("space" if c == " " else "mark" if c == "!" else "lower") for c in t if not c.isdigit()))
+    assert references.classes[0, quality.CLASSES.index("mark")] == pytest.approx(marks / sum(kinds.values()), abs=1e-12)
+
+
 def test_quality_verdicts_against_a_plain_version(spark):
     """Bounds from the labelled documents: unknown words go, other scripts and languages without a reference stay."""
     rng = random.Random(12)

@@ -7,8 +7,8 @@ counts, so a label of the wrong language rejects nothing. A text under the minim
 length has too few counts to compare, and a document of a language without a reference
 has nothing to be compared with: neither is rejected by divergence.
 
-References are fitted on documents labelled good: of each language at most ``SAMPLE``,
-chosen by a hash of the id, for the ``LANGUAGES`` languages that have most. How far common
+References are fitted on all documents labelled good, for the ``LANGUAGES`` languages that
+have most. How far common
 words may diverge comes from the same documents: shorter texts diverge more, so for each
 doubling of the length the bound lies half-way between the ``QUANTILE`` of the good
 documents' own distances and the distance of a text of unknown words. A length with fewer
@@ -16,7 +16,7 @@ than ``LEAST_IN_OCTAVE`` good documents takes the bound of the next shorter one.
 Everything else covers every document in full.
 
 Nulls and odd input: a null text is an empty one and has no words; a document with a
-null or unlabelled id is measured like any other and only never serves as a sample;
+null or unlabelled id is measured like any other and only never serves for fitting;
 a null language is a language of its own; without references (no labels, empty table)
 divergence rejects nothing. Rows are never merged: a repeated row gives repeated
 results. Other columns are kept or ignored as the caller asks, whatever their names.
@@ -36,15 +36,14 @@ from pyspark.sql.types import BooleanType, StructField, StructType
 
 from tokenloom.llm.arrow import Texts, map_texts, quoted, unused
 from tokenloom.llm.words import WIDTH, Words, span_hashes, windows
+from tokenloom.plans.sizes import hinted
 from tokenloom.plans.workspace import written
 
-SAMPLE = 1000  # documents of each language
 LANGUAGES = 200
-PARTS = 64
 QUANTILE = 0.995
 LEAST_IN_OCTAVE = 30
 TOP_WORDS = 100
-MIN_SAMPLE = 5
+MIN_SAMPLE = 5  # documents
 MIN_WORDS = 40
 MAX_CLASS_DISTANCE = 0.16
 
@@ -188,32 +187,27 @@ def nearest_distance(counts: np.ndarray, references: np.ndarray) -> np.ndarray:
     return np.where(total[:, 0] > 0, np.where(np.isinf(best), 0, best), 0)
 
 
-def _labelled_sample(docs: DataFrame, labels: DataFrame, sample: int, key: str, text: str, language: str) -> DataFrame:
-    """Language and text of at most ``sample`` documents labelled good of each language. The result is stored."""
+def _labelled_good(docs: DataFrame, labels: DataFrame, key: str, text: str, language: str) -> DataFrame:
+    """Language and text of every document labelled good, of the ``LANGUAGES`` languages that have most. The result is stored."""
     lang = F.coalesce(quoted(language), F.lit(""))
     named = docs.select(quoted(key).alias("id"), lang.alias("lang"), quoted(text).alias("text")).where("id IS NOT NULL")
     good = labels.where("quality = 1 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("id")).distinct()
-    ranked = named.select("id", "lang").join(good, "id").distinct().withColumn("hash", F.xxhash64("id"))
-    # First within parts of a language, so that no task sees all of a common one.
-    for by in (["lang", F.pmod("hash", F.lit(PARTS))], ["lang"]):
-        place = F.row_number().over(Window.partitionBy(*by).orderBy("hash", "id"))
-        ranked = ranked.withColumn("place", place).where(F.col("place") <= sample).drop("place")
-    ranked = written(ranked.select("id", "lang"), "good-documents")
-    most = ranked.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).select("lang")
-    # At most ``sample`` ids for each of ``LANGUAGES`` languages are broadcast.
-    chosen = ranked.join(F.broadcast(most), "lang")
-    return written(named.join(F.broadcast(chosen), ["id", "lang"]).select("lang", "text"), "good-sample")
+    n_good = good.count()
+    found = written(named.join(hinted(good, n_good, 16 * n_good), "id").select("lang", "text"), "good-documents")
+    most = found.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).select("lang")
+    # At most ``LANGUAGES`` names are broadcast.
+    return found.join(F.broadcast(most), "lang")
 
 
-def word_bounds(sample: DataFrame, references: References) -> np.ndarray:
-    """The largest word distance for each doubling of the length, from the sample's own distances."""
+def word_bounds(good: DataFrame, references: References) -> np.ndarray:
+    """The largest word distance for each doubling of the length, from the good documents' own distances."""
 
     def measured(part):
         texts = Texts(part.column("text"))
         distance = nearest_distance(word_histograms(texts, references.hashes), references.words)
         return [pa.array(_octave(Words(texts).counts)), pa.array(distance)]
 
-    found = map_texts(sample, "text", measured, "octave int, distance double").groupBy("octave")
+    found = map_texts(good, "text", measured, "octave int, distance double").groupBy("octave")
     upper = F.percentile_approx("distance", QUANTILE, 100_000).alias("upper")
     rows = {r["octave"]: r for r in found.agg(F.count("*").alias("n"), upper).collect()}
     only_other = np.zeros((1, references.words.shape[1]))
@@ -234,16 +228,15 @@ def _octave(counts: np.ndarray) -> np.ndarray:
 def fit_references(
     docs: DataFrame,
     labels: DataFrame,
-    sample: int = SAMPLE,
     key: str = "doc_id",
     text: str = "text",
     language: str = "lang",
 ) -> References:
-    """References of the languages that have at least ``MIN_SAMPLE`` documents in the sample.
+    """References of the languages that have at least ``MIN_SAMPLE`` documents labelled good.
 
     The driver gets a few hundred counts for each of them, and one bound for each doubling of the length.
     """
-    chosen = _labelled_sample(docs, labels, sample, key, text, language)
+    chosen = _labelled_good(docs, labels, key, text, language)
 
     def classes(part):
         found = class_histograms(Texts(part.column("text")))
@@ -263,6 +256,7 @@ def fit_references(
         .groupBy("lang", word.alias("word"))
         .count()
     )
+    counts = written(counts, "good-words")
     order = Window.partitionBy("lang").orderBy(F.desc("count"), "word")
     ranked = counts.withColumn("place", F.row_number().over(order))
     total = counts.groupBy("lang").agg(F.sum("count").alias("total"))
