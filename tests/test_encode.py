@@ -538,3 +538,18 @@ def test_encode_keeps_other_columns(spark):
 def test_literal_sweep_is_one_expression(spark):
     row = spark.range(1).select(ids_of_state(literal_sweep(vocabulary_64(spark), F.lit("the")))).first()
     assert row[0] == [256, 101]
+
+
+def test_equal_beginnings_are_looked_up_once(spark):
+    """A chunk that repeats itself has as few spans as one round of it, and ends as by plain merging."""
+    vocab = dataclasses.replace(vocabulary_64(spark), literal_merges=None)
+    round_of = "the other and then there "
+    rows = spark.createDataFrame([(1, round_of * 20, 480)], "number long, part string, starts int")
+    state = vocab.start_state(F.col("part"))
+    found = spans(rows.withColumn("part", state), vocab, ["number"])
+    assert 0 < found.count() <= 2 * len(round_of)
+    texts = [round_of * 400, "x" * 2000 + round_of * 50, "été que " * 300]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    whole = dataclasses.replace(vocab, pattern=r"[\s\S]+")
+    want = tokenize(docs, dataclasses.replace(vocabulary_64(spark), pattern=r"[\s\S]+"))
+    assert sorted(map(str, tokenize(docs, whole).collect())) == sorted(map(str, want.collect()))

@@ -38,6 +38,8 @@ WINDOW = 512
 # The string plans look at every candidate at least once per chunk; longer chunks
 # go to a helper that finds pairs by position.
 SHORT_BYTES = 512
+# Up to so many candidates a long chunk is read once for each of them.
+FEW_CANDIDATES = 500
 # Stands between chunks; the coding of ids leaves it unused.
 APART = "\0"
 
@@ -88,24 +90,26 @@ def spans(rows: DataFrame, vocab: Vocabulary, carried: Sequence[str], keep_all:
     lengths, and only spans of these are left. With ``keep_all`` each row has a span of
     length 1, so that none is lost.
     """
-    rows = rows.select(*carried, "part", F.explode(F.sequence(F.lit(1), "starts")).alias("i"))
+    # What begins at a position, as far as a token reaches; equal beginnings of a row are looked up once.
+    reach = F.transform(F.sequence(F.lit(1), "starts"), lambda i: F.substring("part", i, F.lit(vocab.max_span)))
+    rows = rows.select(*carried, F.posexplode(F.array_distinct(reach)).alias("i", "reach"))
     heads = hinted(vocab.heads, vocab.n_heads, 32 * vocab.n_heads)
     short = heads.select(*vocab.by, F.col("head").alias("two"), F.col("lengths").alias("sizes"))
-    rows = rows.withColumn("two", F.substring("part", F.col("i"), F.lit(2)))
+    rows = rows.withColumn("two", F.left("reach", F.lit(2)))
     none = F.array().cast("array<int>")
     sizes = F.coalesce("sizes", none)
     if keep_all:
-        rows = rows.join(short, [*vocab.by, "two"], "left").where("sizes is not null or i = 1")
-        sizes = F.concat(F.when(F.col("i") == 1, F.array(F.lit(1))).otherwise(none), sizes)
+        rows = rows.join(short, [*vocab.by, "two"], "left").where("sizes is not null or i = 0")
+        sizes = F.concat(F.when(F.col("i") == 0, F.array(F.lit(1))).otherwise(none), sizes)
     else:
         rows = rows.join(short, [*vocab.by, "two"])
-    rows = rows.select(*carried, "part", "i", F.explode(sizes).alias("l"))
-    rows = rows.withColumn("head", F.when(F.col("l") == HEAD, F.substring("part", F.col("i"), F.lit(HEAD))))
+    rows = rows.select(*carried, "reach", F.explode(sizes).alias("l"))
+    rows = rows.withColumn("head", F.when(F.col("l") == HEAD, F.left("reach", F.lit(HEAD))))
     rows = rows.join(heads, [*vocab.by, "head"], "left")
-    room = F.greatest(F.char_length("part") - F.col("i") + 1, F.lit(1))
+    room = F.greatest(F.char_length("reach"), F.lit(1))
     lengths = F.when(F.col("l") < HEAD, F.array("l")).otherwise(F.coalesce("lengths", none))
-    rows = rows.select(*carried, "part", "i", F.explode(F.filter(lengths, lambda n: n <= room)).alias("l"))
-    return rows.select(*carried, "l", F.substring("part", F.col("i"), F.col("l")).alias("span"))
+    rows = rows.select(*carried, "reach", F.explode(F.filter(lengths, lambda n: n <= room)).alias("l"))
+    return rows.select(*carried, "l", F.left("reach", F.col("l")).alias("span"))
 
 
 def _hits(rows: DataFrame, vocab: Vocabulary, carried: Sequence[str], keep_all: bool) -> DataFrame:
@@ -179,7 +183,8 @@ def _pieces(numbered: DataFrame, vocab: Vocabulary) -> DataFrame:
 def _long_chunks(chunks: DataFrame, vocab: Vocabulary) -> DataFrame:
     """Chunks too long for string plans, each merged by a heap over its own candidates.
 
-    Only the number of a chunk goes through the span lookup, not its text.
+    Where merges are in order and a chunk has few candidates, one pass in rank order is
+    the same and faster. Only the number of a chunk goes through the span lookup, not its text.
     """
     # Stored, so that a number always means the same chunk.
     numbered = written(chunks.withColumn("number", F.monotonically_increasing_id()), "long-chunks")
@@ -187,12 +192,17 @@ def _long_chunks(chunks: DataFrame, vocab: Vocabulary) -> DataFrame:
     found = found.groupBy("number").agg(_found().alias("found"))
     columns = [c for c in chunks.columns if c != "start_state"]
     schema = StructType([*(chunks.schema[c] for c in columns), StructField("state", StringType())])
-    merge = rank_merger()
+    merge, in_order, few = rank_merger(), vocab.in_order, FEW_CANDIDATES
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             states = []
             for start, merges in zip(batch.column("start_state").to_pylist(), batch.column("found").to_pylist()):
+                if in_order and len(merges or ()) <= few:
+                    for m in merges or ():
+                        start = start.replace(m["pattern"], m["result"])
+                    states.append(start)
+                    continue
                 ranks = {}
                 for m in merges or ():
                     ranks.setdefault((m["pattern"][0], m["pattern"][1]), (m["rank"], m["result"]))
