@@ -553,3 +553,40 @@ def test_equal_beginnings_are_looked_up_once(spark):
     whole = dataclasses.replace(vocab, pattern=r"[\s\S]+")
     want = tokenize(docs, dataclasses.replace(vocabulary_64(spark), pattern=r"[\s\S]+"))
     assert sorted(map(str, tokenize(docs, whole).collect())) == sorted(map(str, want.collect()))
+
+
+# -- chunks found and merged in batches -------------------------------------
+
+PIECES = ["a", "é", "日", "Z", "1", "²", "Ⅷ", " ", "  ", "\t", "\n", "\r", " ", " ", "\f", "'", "'s", "'LL", "'re", "'ſ", "re", "!", ".", "🙂", "\U0001d400", "\0", "́", "s", "l", "v", "e"]
+
+
+def test_chunks_of_batches_equal_the_pattern(spark):
+    """Chunks found by classes are those of the regular expression, also beside added tokens, and by another pattern."""
+    rng = random.Random(29)
+    texts = ["".join(rng.choice(PIECES) for _ in range(rng.randint(0, 30))) for _ in range(4_000)]
+    # Every character between two others, and one text longer than a slice.
+    texts += ["".join(f"x{chr(p)}1 {chr(p)}'{chr(p)}" for p in range(at, at + 4_096) if not 0xD800 <= p < 0xE000) for at in range(0, 0x20000, 4_096)]
+    texts += ["", None, "'", " ", "it's <|user|>'s", "<|user|>", "word's " * 300_000]
+    docs = frame(spark, texts).repartition(5)
+    small = vocabulary_64(spark)
+    for vocab in (small, dataclasses.replace(small, added=(USER,)), dataclasses.replace(small, pattern="[^ ]+")):
+        chunks = F.explode(chunk_array(F.col("text"), vocab.pattern, vocab.added_texts)).alias("chunk")
+        want = docs.select(chunks).groupBy("chunk").agg(F.count("*").alias("n"))
+        found = count_chunks(docs, vocab)
+        assert want.exceptAll(found).count() == 0 and found.exceptAll(want).count() == 0
+
+
+@pytest.mark.parametrize("in_order", [True, False])
+def test_rounds_equal_plain_merging(spark, in_order):
+    if in_order:
+        vocab = dataclasses.replace(vocabulary_64(spark), literal_merges=None)
+    else:
+        vocab, _, _ = random_vocabulary(spark, 8)
+    rng = random.Random(9)
+    texts = ["".join(rng.choice("abcd étheion!") for _ in range(rng.randint(0, 90))) for _ in range(600)]
+    texts += ["a" * n for n in range(1, 70)] + ["!" * n for n in range(1, 70)] + ["abab" * 300, "tion" * 300]
+    chunks = count_chunks(frame(spark, texts), vocab)
+    rounds = encode_chunks(chunks, vocab, rounds=True)
+    assert "Join" not in rounds._jdf.queryExecution().executedPlan().toString()
+    want = {r.chunk: (r.n, r.state, r.n_tokens) for r in encode_chunks(chunks, vocab).collect()}
+    assert {r.chunk: (r.n, r.state, r.n_tokens) for r in rounds.collect()} == want

@@ -8,12 +8,14 @@ then has no frequent key.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tokenloom.functions.bounds import chunk_finder, texts_to_split
 from tokenloom.functions.chunks import chunk_array
 from tokenloom.operators.encode import encode_chunks
 from tokenloom.operators.vocabulary import Vocabulary
@@ -23,6 +25,8 @@ from tokenloom.plans.workspace import written
 # A chunk is frequent when it makes up at least this share of all occurrences,
 # so at most its reciprocal many chunks are.
 FREQUENT_SHARE = 1 / 50_000
+# Bytes of chunks, with an offset for each, whose distinct ones are found together in a task.
+BLOCK_BYTES = 32 << 20
 
 
 @dataclass(frozen=True)
@@ -72,12 +76,35 @@ def occurrences(
 
 def count_chunks(corpus: DataFrame, vocab: Vocabulary, by: Sequence[str] = ()) -> DataFrame:
     """Distinct chunks with their frequency, per group if ``by`` is given."""
-    return occurrences(corpus, by, vocab).groupBy(*by, "chunk").agg(F.count("*").alias("n"))
+    if by:
+        return occurrences(corpus, by, vocab).groupBy(*by, "chunk").agg(F.count("*").alias("n"))
+    find, limit = chunk_finder(corpus.sparkSession, vocab.pattern), BLOCK_BYTES
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            for _, chunks, _ in find(batch):
+                held.append(chunks)
+                size += chunks.nbytes
+                if size >= limit:
+                    yield from counted(held)
+                    size = 0
+        yield from counted(held)
+
+    def counted(held: list[pa.Array]) -> Iterator[pa.RecordBatch]:
+        found = pa.chunked_array(held, pa.string()).value_counts()
+        if len(found):
+            yield pa.RecordBatch.from_arrays([found.field("values"), found.field("counts")], names=["chunk", "n"])
+        held.clear()
+        pa.default_memory_pool().release_unused()
+
+    parts = texts_to_split(corpus, [], vocab.pattern, vocab.added_texts).mapInArrow(count, "chunk string, n long")
+    return parts.groupBy("chunk").agg(F.sum("n").alias("n"))
 
 
 def build_dictionary(corpus: DataFrame, vocab: Vocabulary) -> Dictionary:
     """Encode every distinct chunk once and store the result."""
-    return measured(written(encode_chunks(count_chunks(corpus, vocab), vocab), "dictionary"))
+    return measured(written(encode_chunks(count_chunks(corpus, vocab), vocab, rounds=True), "dictionary"))
 
 
 def measured(table: DataFrame) -> Dictionary:

@@ -1,7 +1,7 @@
 """Byte-pair encoding of distinct chunks.
 
 Lowest-rank merging: while a known pair of neighbours remains, take the pair
-with the lowest rank and merge all its occurrences from left to right. Three
+with the lowest rank and merge all its occurrences from left to right. Four
 equivalent plans follow; which one is exact and cheapest depends on the merges.
 
 * literal sweep: few merges, in order. One pass over a literal list, which may
@@ -10,6 +10,8 @@ equivalent plans follow; which one is exact and cheapest depends on the merges.
   occurs in the chunk, and one pass in rank order applies them.
 * candidate search: any merges. The same join, but each step looks for the
   lowest candidate again.
+* rounds: any merges, as long as each task can hold them. Chunks are encoded where
+  they stand, many at once, without a join.
 
 Both candidate plans are for chunks of ordinary length, and copy the token string at
 each step. A long chunk is merged by a heap of its pairs instead, in n log n.
@@ -27,7 +29,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from tokenloom.functions.chunks import chunk_array
 from tokenloom.functions.codes import id_char
-from tokenloom.operators.merging import rank_merger
+from tokenloom.operators.merging import rank_merger, rounds_merger
 from tokenloom.operators.vocabulary import HEAD, Vocabulary
 from tokenloom.plans.sizes import hinted
 from tokenloom.plans.workspace import written
@@ -40,6 +42,8 @@ WINDOW = 512
 SHORT_BYTES = 512
 # Up to so many candidates a long chunk is read once for each of them.
 FEW_CANDIDATES = 500
+# Up to so many merges are sent to each task.
+ROUND_MERGES = 500_000
 # Stands between chunks; the coding of ids leaves it unused.
 APART = "\0"
 
@@ -212,14 +216,28 @@ def _long_chunks(chunks: DataFrame, vocab: Vocabulary) -> DataFrame:
     return numbered.join(found, "number", "left").select(*columns, "start_state", "found").mapInArrow(encode, schema)
 
 
-def encode_chunks(chunks: DataFrame, vocab: Vocabulary) -> DataFrame:
+def merge_rounds(chunks: DataFrame, vocab: Vocabulary) -> DataFrame:
+    merges = vocab.merges.select("left_id", "right_id", "merged_id", "rank").toArrow()
+    merge = rounds_merger(vocab.byte_ids, merges, vocab.in_order)
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([*batch.columns, merge(batch.column("chunk"))], names=[*batch.schema.names, "state"])
+
+    return chunks.mapInArrow(encode, StructType([*chunks.schema, StructField("state", StringType())]))
+
+
+def encode_chunks(chunks: DataFrame, vocab: Vocabulary, rounds: bool = False) -> DataFrame:
     """Add ``state`` and ``n_tokens`` to rows of distinct chunks.
 
     ``state`` holds one character per token; `functions.codes` reads it. An
-    added token is its own id and takes no part in merging.
+    added token is its own id and takes no part in merging. With ``rounds``, merges
+    that a task can hold need no join.
     """
     if vocab.literal_merges is not None:
         encoded = chunks.withColumn("state", literal_sweep(vocab, F.col("chunk")))
+    elif rounds and vocab.n_merges <= ROUND_MERGES and not vocab.by:
+        encoded = merge_rounds(chunks, vocab)
     elif vocab.in_order:
         encoded = candidate_sweep(chunks, vocab)
     else:

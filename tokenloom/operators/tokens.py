@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tokenloom.functions.alphabet import byte_chars
 from tokenloom.functions.codes import ids_of_state
+from tokenloom.operators.blocks import ids_by_blocks
 from tokenloom.operators.dictionary import (
     Dictionary,
     build_dictionary,
@@ -37,11 +38,14 @@ def tokenize(
 
     A vocabulary with few merges encodes each row where it stands. With any
     other, each distinct chunk is encoded once and joined back; over a corpus
-    bucketed by key the last gather then needs no shuffle.
+    bucketed by key the last gather then needs no shuffle. A dictionary too large
+    to broadcast is joined with the distinct chunks of blocks of texts.
     """
     if dictionary is None and vocab.literal_merges is not None:
         return encode_inline(corpus, vocab, [*key, *keep])
     dictionary = dictionary or build_dictionary(corpus, vocab)
+    if not dictionary.fits:
+        return ids_by_blocks(corpus, vocab, dictionary, [*key, *keep])
     given = corpus.withColumn("given", F.col("text").isNotNull()).withColumns(marks(F.col("text")))
     rows = occurrences(given, [*key, *MARKS, "given"], vocab, keep_blank=True)
     tokens = gathered(with_codes(rows, dictionary, ["state"]), key)

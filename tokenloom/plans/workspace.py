@@ -33,8 +33,8 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/tokenloom/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once and return the stored table."""
+def written(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
+    """Write ``df`` once and return the stored table. The default codec keeps buffers of a whole page outside the heap, which counts where rows are large."""
     path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
