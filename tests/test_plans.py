@@ -8,6 +8,7 @@ import re
 from pyspark.sql import functions as F
 
 from tokenloom.fixtures import vocabulary_64
+from tokenloom.operators.blocks import blocks
 from tokenloom.operators.dictionary import build_dictionary, count_chunks, occurrences, with_codes
 from tokenloom.operators.encode import candidate_sweep
 from tokenloom.operators.tokens import detokenize, encode_inline, put_together, run_joiner, token_counts, tokenize
@@ -158,3 +159,19 @@ def test_rows_of_one_key_are_cut_anywhere(spark):
         assert sorted(map(str, tokenize(docs, vocab, dictionary=small).collect())) == want
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_a_large_dictionary_meets_distinct_chunks_only(spark):
+    """What is joined with a dictionary too large to broadcast is a row for each chunk of a block, not for each occurrence."""
+    docs = spark.read.parquet(DOCUMENTS).select("doc_id", "text").repartition(3)
+    vocab = large(spark)
+    dictionary = dataclasses.replace(build_dictionary(docs, vocab), broadcast_rows=1_000, frequent_share=1 / 1_000)
+    tokens = tokenize(docs, vocab, dictionary=dictionary)
+    want = tokenize(docs, vocabulary_64(spark))
+    assert tokens.exceptAll(want).count() == 0 and want.exceptAll(tokens).count() == 0
+    shown = plan(tokens)
+    # The documents were read once, to store their blocks.
+    assert "documents.parquet" not in shown and "/blocks-" in shown
+    rows = blocks(docs, vocab, ["doc_id"]).select("block", F.explode("chunks").alias("chunk"))
+    assert rows.count() <= 3 * dictionary.rows < dictionary.occurrences / 2
+    assert rows.distinct().count() == rows.count()
